@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import distinct_keys
+
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -60,11 +62,11 @@ def with_category(products: DataFrame, categories: DataFrame) -> DataFrame:
 
 def new_rows(source: DataFrame, current: DataFrame, key: str) -> DataFrame:
     """Source rows whose key has no current row."""
-    return source.join(current.select(key), key, "left_anti")
+    return source.join(distinct_keys(current, key), key, "left_anti")
 
 
 def known_facts(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Facts whose customer and product both exist."""
-    return fact.join(customers.select("customer_id"), "customer_id", "left_semi").join(
-        products.select("product_id"), "product_id", "left_semi"
-    )
+    for dim, key in ((customers, "customer_id"), (products, "product_id")):
+        fact = fact.join(distinct_keys(dim, key), key, "left_semi")
+    return fact

@@ -8,16 +8,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Each complete key once, as the key side of a join.  Repeats vanish before the shuffle."""
+    return splittable_groups(df.select(*keys).dropna(), *keys).agg(F.lit(True)).select(*keys)
+
+
+def splittable_groups(df: DataFrame, *keys: str) -> GroupedData:
+    """Group for a result that will be joined with many rows per key.
+
+    An aggregate over the join key alone would also serve as that side's
+    shuffle, and the adaptive planner splits a hot partition only where both
+    sides of the join have a shuffle of their own.  Grouping by a hash of the key
+    as well gives the same groups under another partitioning, so the join adds
+    its own (the aggregated side is narrow) and stays splittable.
+    """
+    return df.groupBy(*keys, F.xxhash64(*keys).alias("_group_hash"))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: greatest ``order`` columns, then greatest remaining columns.
 
     The tie-break over every column makes the choice independent of row order.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest and not order:
+        return df.distinct()
     ranked = F.struct(*[F.col(c) for c in [*order, *rest]])
     best = df.groupBy(*keys).agg(F.max(ranked).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns])
@@ -26,6 +45,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, the smallest over the remaining columns."""
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     best = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_best"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns])
 
@@ -41,7 +62,7 @@ def append_new(target: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
     Rows without a key cannot be deduplicated and are left out.
     """
     complete = source.dropna(subset=list(keys))
-    return first_per_key(complete, keys).join(target.select(*keys), list(keys), "left_anti")
+    return first_per_key(complete, keys).join(distinct_keys(target, *keys), list(keys), "left_anti")
 
 
 def append_dedup(target: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
@@ -55,7 +76,7 @@ def fk_orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str |
     Children are counted per key before the join, so a hot orphan key is one row.
     """
     counted = child.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
-    parents = parent.select(F.col(parent_key or key).alias(key))
+    parents = distinct_keys(parent.select(F.col(parent_key or key).alias(key)), key)
     return counted.join(parents, key, "left_anti")
 
 

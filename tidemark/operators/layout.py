@@ -16,9 +16,19 @@ def file_report(df: DataFrame) -> DataFrame:
     )
 
 
-def compact_files(spark: SparkSession, source: str, target: str, files: int) -> DataFrame:
-    """Rewrite a table of many small files as ``files`` even ones."""
-    spark.read.parquet(source).repartition(files).write.mode("overwrite").parquet(target)
+def files_for(df: DataFrame, target_mb: int = 128) -> int:
+    """How many files of the target size hold the table, from the bytes it uses now."""
+    size = file_report(df).agg(F.sum("bytes")).first()[0] or 0
+    return max(1, -(-size // (target_mb * 1024 * 1024)))
+
+
+def compact_files(
+    spark: SparkSession, source: str, target: str, files: int | None = None, target_mb: int = 128
+) -> DataFrame:
+    """Rewrite a table of many small files as few even ones of about ``target_mb``."""
+    table = spark.read.parquet(source)
+    count = files_for(table, target_mb) if files is None else files
+    table.repartition(count).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import open_end
+from tidemark.operators.keys import splittable_groups
 from tidemark.operators.timeline import DAY, last_version
 
 
@@ -77,7 +78,9 @@ def leakage_audit(
         usable, versions, key, ts, "valid_from", ["valid_to"], seen="_seen", seconds=seconds
     )
     current = (
-        dim.filter(F.col("is_current")).groupBy(key).agg(F.max("valid_from").alias("_current_from"))
+        splittable_groups(dim.filter(F.col("is_current")), key)
+        .agg(F.max("valid_from").alias("_current_from"))
+        .drop("_group_hash")
     )
     moment = F.col(ts).cast("timestamp_ntz")
     counts = found.join(current, key, "left").agg(

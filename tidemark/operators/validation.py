@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import distinct_keys
+
 Rules = Mapping[str, Column]
 
 
@@ -31,12 +33,7 @@ def mark_known(df: DataFrame, dim: DataFrame, key: str, flag: str, dim_key: str
     a broadcast join when the key side is measured small; otherwise the adaptive
     planner splits a fact partition that holds a hot key.
     """
-    keys = (
-        dim.select(F.col(dim_key or key).alias(key))
-        .filter(F.col(key).isNotNull())
-        .distinct()
-        .withColumn(flag, F.lit(True))
-    )
+    keys = distinct_keys(dim.select(F.col(dim_key or key).alias(key)), key).withColumn(flag, F.lit(True))
     return df.join(keys, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.money import PRICE
 from tidemark.functions.times import ORDER_TS_FORMAT, RETURN_DATE_FORMAT
 from tidemark.operators import history, validation
-from tidemark.session import scratch_path
+from tidemark.session import enable_skew_splitting, scratch_path
 from tidemark.sources.files import parquet_stream
 from tidemark.sources.schemas import RETURN_REASONS
 
@@ -37,6 +37,7 @@ class Domain:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        enable_skew_splitting(spark)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -103,7 +104,7 @@ class Domain:
         email = F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com"))
         return (
             self.table("customer")
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
                 F.col("c_custkey"),
                 padded("C", "c_custkey", 6).alias("customer_id"),

@@ -148,7 +148,7 @@ def snapshot_as_of_join(d: Domain):
     first = history.scd2_apply(None, d.customers_v1, "customer_id", TRACKED, CARRIED, V1_DATE)
     versions.commit(first, path, "WRITE", V1_DATE)
     versions.commit(d.dim_customers, path, "MERGE", "1998-01-01 00:00:00")
-    then = versions.as_of_version(versions.snapshots(d.spark, path), ts="1997-12-02 00:00:00")
+    then = versions.as_of_version(d.spark, path, ts="1997-12-02 00:00:00")
     facts = d.fct_orders.select("order_id", "customer_id", "line_total")
     joined = temporal.snapshot_as_of_join(facts, then, "customer_id", ["city"])
     return joined.select("order_id", "line_total", F.col("city").alias("city_then"))

@@ -43,8 +43,8 @@ VIEWS = {
                CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS phone,
                n_name AS city, r_name AS country, lower(n_name) AS region,
                lower(c_mktsegment) AS segment
-        FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey""",
+        FROM customer LEFT JOIN (nation JOIN region ON n_regionkey = r_regionkey)
+        ON c_nationkey = n_nationkey""",
     "customers": "SELECT * EXCLUDE (c_custkey) FROM customer_rows",
     "customers_v1": "SELECT * EXCLUDE (c_custkey) FROM customer_rows WHERE c_custkey % 25 <> 24",
     "customers_v2": """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import line_total
+from tidemark.functions.money import line_total, total
 from tidemark.functions.times import open_end
 from tidemark.operators import gold, history, keys, temporal, validation
 from tidemark.plans.domain import Domain
@@ -156,9 +156,11 @@ def revenue_reconcile(d: Domain):
     """Category totals of the validated facts against those of the raw rows."""
     category = d.products.select("product_id", "category")
     raw = d.orders_raw.withColumn("line_total", line_total("quantity", "unit_price"))
-    return gold.reconcile(
-        d.fct_orders.join(category, "product_id"), raw.join(category, "product_id"), "category", "line_total"
-    )
+    sides = [
+        rows.groupBy("product_id").agg(total("line_total").alias("line_total")).join(category, "product_id")
+        for rows in (d.fct_orders, raw)
+    ]
+    return gold.reconcile(*sides, "category", "line_total")
 
 
 @query(

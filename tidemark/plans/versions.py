@@ -71,12 +71,10 @@ def order_versions(d: Domain) -> str:
 )
 def as_of_version(d: Domain):
     """Version 0 by number and version 1 by time."""
-    snaps = versions.snapshots(d.spark, order_versions(d))
-    by_number = versions.as_of_version(snaps, version=0)
-    by_time = versions.as_of_version(snaps, ts="2024-05-15 00:00:00")
-    return by_number.unionByName(by_time).select(
-        "order_id", "customer_id", "line_total", "order_ts", F.col("_version").cast("int").alias("version")
-    )
+    path = order_versions(d)
+    by_number = versions.as_of_version(d.spark, path, version=0).withColumn("version", F.lit(0))
+    by_time = versions.as_of_version(d.spark, path, ts="2024-05-15 00:00:00").withColumn("version", F.lit(1))
+    return by_number.unionByName(by_time)
 
 
 @query(
@@ -88,13 +86,8 @@ def as_of_version(d: Domain):
        WHERE order_ts >= TIMESTAMP '2000-01-01'""",
 )
 def version_history(d: Domain):
-    log = versions.version_history(versions.snapshots(d.spark, order_versions(d)))
-    return log.select(
-        F.col("_version").cast("int").alias("version"),
-        F.col("_committed_at").alias("committed_at"),
-        F.col("_operation").alias("operation"),
-        "row_count",
-    )
+    log = versions.version_history(d.spark, order_versions(d))
+    return log.withColumn("version", F.col("version").cast("int"))
 
 
 @query("restore_version", "SELECT order_id, customer_id, line_total, order_ts FROM fct_orders")
@@ -104,8 +97,7 @@ def restore_version(d: Domain):
     versions.restore(
         d.spark, path, "2024-05-14 00:00:00", "2024-05-15 00:00:00", "2024-05-17 00:00:00", min_rows=1000
     )
-    newest = versions.as_of_version(versions.snapshots(d.spark, path))
-    return newest.select("order_id", "customer_id", "line_total", "order_ts")
+    return versions.as_of_version(d.spark, path)
 
 
 @query(

@@ -22,20 +22,41 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: obje
     return spark
 
 
-def configure_aqe(spark: SparkSession, broadcast_threshold_mb: int = 10) -> None:
-    """Re-planning at run time: coalesce small partitions, split skewed ones,
-    broadcast a side only when its measured size is under the threshold."""
+def enable_skew_splitting(spark: SparkSession) -> None:
+    """Re-planning at run time: coalesce small partitions, split skewed ones.
+
+    Splitting is forced: a join whose result must keep its key partitioning is
+    still split, at the price of one more shuffle, when a key really is hot.
+    """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_threshold_mb * MEGABYTE),
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
 
 
+def configure_aqe(spark: SparkSession, broadcast_threshold_mb: int = 10) -> None:
+    """Adaptive settings, and the size below which a join side is broadcast by itself."""
+    enable_skew_splitting(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(broadcast_threshold_mb * MEGABYTE))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_mb: int = 256) -> int:
+    """Enough shuffle partitions for an input of this size; never fewer than set now.
+
+    The adaptive planner merges partitions that turn out small, so the number is
+    an upper bound, not a task count.
+    """
+    needed = -(-input_bytes // (partition_mb * MEGABYTE))
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), needed)
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    return count
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -1,7 +1,9 @@
-"""Table versions as partition folders ``_version=n/_committed_at=.../_operation=...``.
+"""Table versions: one data folder per version and a small history table.
 
-Everything asked about versions is answered from partition columns, so only the
-folders of the wanted version are read.
+``<path>/data/version=n`` holds the rows, ``<path>/history`` one row per version
+(number, time, operation, row count).  The history row is written last, so a
+version exists only when its data is complete, and finding a version never
+touches the data of the others.
 """
 
 from __future__ import annotations
@@ -9,48 +11,68 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.validation import require_rows
+from tidemark.operators.validation import RowCountError
 from tidemark.sinks.tables import read_if_exists
 
-META = ("_version", "_committed_at", "_operation")
+HISTORY = "version LONG, committed_at TIMESTAMP_NTZ, operation STRING, row_count LONG"
 
 
-def snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All versions of the table, with the columns of ``META``."""
-    return _typed(spark.read.option("mergeSchema", True).parquet(path))
+def version_history(spark: SparkSession, path: str) -> DataFrame:
+    """Number, time, operation and row count of every version."""
+    found = read_if_exists(spark, f"{path}/history")
+    return spark.createDataFrame([], HISTORY) if found is None else found
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    found = read_if_exists(spark, path)
-    return None if found is None else found.agg(F.max("_version")).first()[0]
+def commit(df: DataFrame, path: str, operation: str, committed_at: str) -> int:
+    """Write ``df`` as the next version; rows are counted from the written file footers.
 
-
-def commit(df: DataFrame, path: str, operation: str, committed_at: str, version: int | None = None) -> int:
-    """Write the next version.  Repeating a commit under its number replaces it."""
+    A commit that failed half-way left no history row; its repetition takes the
+    same number and overwrites the partial folder.
+    """
     spark = df.sparkSession
-    if version is None:
-        last = latest_version(spark, path)
-        version = 0 if last is None else last + 1
-    stamp = committed_at.replace(":", "-").replace(" ", "T")
-    target = f"{path}/_version={version}/_committed_at={stamp}/_operation={operation}"
-    df.drop(*META).write.mode("overwrite").parquet(target)
+    last = version_history(spark, path).agg(F.max("version")).first()[0]
+    version = 0 if last is None else last + 1
+    df.write.mode("overwrite").parquet(_folder(path, version))
+    rows = spark.read.parquet(_folder(path, version)).count()
+    entry = spark.createDataFrame([(version, None, operation, rows)], HISTORY).withColumn(
+        "committed_at", F.lit(committed_at).cast("timestamp_ntz")
+    )
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/history")
     return version
 
 
-def as_of_version(snaps: DataFrame, version: int | None = None, ts: object = None) -> DataFrame:
-    """The newest version up to a number and/or a time; empty when there is none."""
-    eligible = snaps
-    if version is not None:
-        eligible = eligible.filter(F.col("_version") <= version)
-    if ts is not None:
-        eligible = eligible.filter(F.col("_committed_at") <= F.lit(ts).cast("timestamp_ntz"))
-    newest = eligible.agg(F.max("_version")).scalar()
-    return eligible.filter(F.col("_version") == newest)
-
-
-def version_history(snaps: DataFrame) -> DataFrame:
-    """Version, time, operation and row count of every version."""
-    return snaps.groupBy(*META).agg(F.count(F.lit(1)).alias("row_count"))
+def find_version(
+    spark: SparkSession,
+    path: str,
+    version: int | None = None,
+    ts: object = None,
+    after: object = None,
+    before: object = None,
+) -> int | None:
+    """The newest version with number <= ``version``, time <= ``ts``, and inside
+    the open range (``after``, ``before``) - whichever of these are given."""
+    log = version_history(spark, path)
+    at = F.col("committed_at")
+    bounds = [
+        (version, lambda v: F.col("version") <= v),
+        (ts, lambda t: at <= F.lit(t).cast("timestamp_ntz")),
+        (after, lambda t: at > F.lit(t).cast("timestamp_ntz")),
+        (before, lambda t: at < F.lit(t).cast("timestamp_ntz")),
+    ]
+    for value, condition in bounds:
+        if value is not None:
+            log = log.filter(condition(value))
+    return log.agg(F.max("version")).first()[0]
+
+
+def as_of_version(
+    spark: SparkSession, path: str, version: int | None = None, ts: object = None
+) -> DataFrame:
+    """The table as of a version number and/or a time; before the first version, no rows."""
+    found = find_version(spark, path, version, ts)
+    if found is None:
+        return spark.read.parquet(_folder(path, 0)).limit(0)
+    return spark.read.parquet(_folder(path, found))
 
 
 def restore(
@@ -60,20 +82,14 @@ def restore(
 
     Raises before anything is written when that version has under ``min_rows`` rows.
     """
-    snaps = snapshots(spark, path)
-    in_range = snaps.filter(
-        (F.col("_committed_at") > F.lit(after).cast("timestamp_ntz"))
-        & (F.col("_committed_at") < F.lit(before).cast("timestamp_ntz"))
-    )
-    chosen = in_range.agg(F.max("_version")).first()[0]
+    chosen = find_version(spark, path, after=after, before=before)
     if chosen is None:
         raise ValueError(f"no version between {after} and {before}")
-    rows = require_rows(snaps.filter(F.col("_version") == chosen), min_rows)
-    return commit(rows, path, "RESTORE", committed_at)
+    rows = version_history(spark, path).filter(F.col("version") == chosen).first()["row_count"]
+    if rows < min_rows:
+        raise RowCountError(f"version {chosen} has {rows} rows, expected at least {min_rows}")
+    return commit(as_of_version(spark, path, chosen), path, "RESTORE", committed_at)
 
 
-def _typed(df: DataFrame) -> DataFrame:
-    stamp = F.try_to_timestamp(
-        F.col("_committed_at").cast("string"), F.lit("yyyy-MM-dd'T'HH-mm-ss")
-    ).cast("timestamp_ntz")
-    return df.withColumn("_committed_at", stamp)
+def _folder(path: str, version: int) -> str:
+    return f"{path}/data/version={version}"

@@ -35,40 +35,45 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 
 class TotalsTable:
-    """Running totals kept as one folder per micro-batch.
+    """Running totals, rewritten by every micro-batch into the next of a few folders.
 
-    Batch ``n`` is written from the folder of the last batch before it.  A batch
-    repeated after a failure overwrites its own folder, so totals count every
-    row once.
+    Batch ``n`` is made from the newest state before ``n`` and goes to folder
+    ``n mod SLOTS``: a batch repeated after a failure starts from the same state
+    and overwrites its own folder, so every row counts once, and the number of
+    folders does not grow.
     """
 
+    SLOTS = 8
+
     def __init__(self, path: str, keys: Sequence[str], sums: Sequence[str]):
         self.path, self.keys, self.sums = path, list(keys), list(sums)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
-        before = self._state(batch.sparkSession, below=batch_id)
+        rows = batch.select(*self.keys, *self.sums)
+        before = self._newest(batch.sparkSession, below=batch_id)
         if before is not None:
-            fresh = (
-                before.unionByName(fresh).groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.sums])
-            )
+            rows = rows.unionByName(before)
         kinds = dict(batch.dtypes)
-        typed = [F.col(c).cast(TOTAL if kinds[c].startswith("decimal") else kinds[c]).alias(c) for c in self.sums]
-        fresh.select(*self.keys, *typed).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        sums = [
+            F.sum(c).cast(TOTAL if kinds[c].startswith("decimal") else kinds[c]).alias(c) for c in self.sums
+        ]
+        totals = rows.groupBy(*self.keys).agg(*sums).withColumn("_batch", F.lit(batch_id).cast("long"))
+        totals.write.mode("overwrite").parquet(f"{self.path}/slot={batch_id % self.SLOTS}")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._state(spark)
+    def read(self, spark: SparkSession) -> DataFrame | None:
+        """The newest state, or None before the first batch."""
+        return self._newest(spark)
 
-    def _state(self, spark: SparkSession, below: int | None = None) -> DataFrame | None:
+    def _newest(self, spark: SparkSession, below: int | None = None) -> DataFrame | None:
         states = read_if_exists(spark, self.path)
         if states is None:
             return None
-        if below is not None:
-            states = states.filter(F.col("batch") < below)
-        newest = states.agg(F.max("batch")).first()[0]
+        known = states if below is None else states.filter(F.col("_batch") < below)
+        newest = known.agg(F.max("_batch")).first()[0]
         if newest is None:
             return None
-        return states.filter(F.col("batch") == newest).drop("batch")
+        slot = spark.read.parquet(f"{self.path}/slot={newest % self.SLOTS}")
+        return slot.select(*self.keys, *self.sums)
 
 
 def upsert_stream(
