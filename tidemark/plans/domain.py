@@ -12,6 +12,7 @@ from tidemark.functions.money import PRICE
 from tidemark.functions.times import ORDER_TS_FORMAT, RETURN_DATE_FORMAT
 from tidemark.operators import history, validation
 from tidemark.session import enable_skew_splitting, scratch_path
+from tidemark.sinks.tables import overwrite_table
 from tidemark.sources.files import parquet_stream
 from tidemark.sources.schemas import RETURN_REASONS
 
@@ -48,6 +49,11 @@ class Domain:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a table in the shared folder: for plans that read it more than once,
+        so its joins run once and a lost executor costs a re-read, not a re-run."""
+        return overwrite_table(df, self.scratch(name))
+
     @cached_property
     def as_of(self) -> Column:
         """Time of the newest order, as a scalar subquery on one column."""
@@ -123,6 +129,11 @@ class Domain:
     def customers(self) -> DataFrame:
         return self._customer_rows.drop("c_custkey")
 
+    @cached_property
+    def customer_keys(self) -> DataFrame:
+        """The keys of :attr:`customers`, without looking up places."""
+        return self.table("customer").select(padded("C", "c_custkey", 6).alias("customer_id"))
+
     @cached_property
     def customers_v1(self) -> DataFrame:
         return self._customer_rows.filter(F.col("c_custkey") % 25 != 24).drop("c_custkey")
@@ -191,7 +202,7 @@ class Domain:
 
     @cached_property
     def flagged_orders(self) -> DataFrame:
-        return validation.flag_orders(self.orders_raw, self.customers, self.products)
+        return validation.flag_orders(self.orders_raw, self.customer_keys, self.products)
 
     @cached_property
     def fct_orders(self) -> DataFrame:

@@ -110,6 +110,11 @@ def composite_key_join(d: Domain):
     return enrich.with_category(products, load_categories(d.spark, path))
 
 
+def order_facts(d: Domain):
+    """The stored fact table that the temporal joins read."""
+    return d.stored(d.fct_orders.select("order_id", "customer_id", "order_ts", "line_total"), "fct_orders")
+
+
 @query(
     "point_in_time_join",
     """SELECT o.order_id, o.customer_id, o.order_ts, o.line_total, c.city, c.segment
@@ -118,7 +123,7 @@ def composite_key_join(d: Domain):
 )
 def point_in_time_join(d: Domain):
     """City and segment as they were at order time."""
-    facts = d.fct_orders.select("order_id", "customer_id", "order_ts", "line_total")
+    facts = order_facts(d)
     return temporal.point_in_time(facts, d.dim_customers, "customer_id", "order_ts", ["city", "segment"])
 
 
@@ -130,7 +135,7 @@ def point_in_time_join(d: Domain):
 )
 def pit_join_closed(d: Domain):
     """The closed form: an order on a boundary meets both versions."""
-    facts = d.fct_orders.select("order_id", "customer_id", "order_ts", "line_total")
+    facts = order_facts(d)
     joined = temporal.point_in_time(
         facts, d.dim_customers, "customer_id", "order_ts", ["city", "country", "is_current"], closed=True
     )

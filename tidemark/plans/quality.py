@@ -8,6 +8,7 @@ from tidemark.functions.money import line_total, total
 from tidemark.functions.times import open_end
 from tidemark.operators import gold, history, keys, temporal, validation
 from tidemark.plans.domain import Domain
+from tidemark.plans.joins import order_facts
 from tidemark.plans.registry import query
 from tidemark.sinks import tables
 
@@ -139,7 +140,7 @@ def scd2_integrity(d: Domain):
               u.n AS future_rows, p.n - p.k AS leaked_rows FROM p, u""",
 )
 def pit_leakage_audit(d: Domain):
-    return temporal.leakage_audit(d.fct_orders, d.dim_customers, "customer_id", "order_ts")
+    return temporal.leakage_audit(order_facts(d), d.dim_customers, "customer_id", "order_ts")
 
 
 @query(
