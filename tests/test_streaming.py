@@ -119,6 +119,18 @@ def test_stream_validation_against_static_dimensions(spark, rows, tmp_path):
     assert values(table, "order_id", "line_total") == [("o1", Decimal(6))]
 
 
+def test_streaming_fact_is_valid_and_unique(spark, rows, tmp_path):
+    path = str(tmp_path / "in")
+    schema = "order_id string, customer_id string, product_id string, quantity int, unit_price decimal(12,2), order_ts string"
+    ts = "2024-01-01T10:00:00"
+    for amount in (None, Decimal(3), Decimal(3)):  # the invalid copy comes first and must not win
+        drop(rows([("o1", "c1", "p1", 2, amount, ts), (None, "c1", "p1", 1, Decimal(1), ts)], schema), path)
+    dims = rows([("c1",)], "customer_id string"), rows([("p1",)], "product_id string")
+    fact = orders.stream_fct_orders(folder_stream(spark, path, schema), *dims)
+    table = sinks.run_to_table(fact, str(tmp_path / "out"), str(tmp_path / "state"))
+    assert values(table, "order_id", "line_total") == [("o1", Decimal(6))]
+
+
 def test_late_audit_counts_strictly_later_rows(rows):
     minutes = [0, 5, 6, 15, 16]
     data = [(START, START + dt.timedelta(minutes=m)) for m in minutes]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_DIR, values
 from tidemark.operators import layout
 from tidemark.operators.validation import RowCountError
-from tidemark.session import scratch_path, size_shuffles
+from tidemark.session import configure_aqe, scratch_path, size_shuffles
 from tidemark.sinks import tables, versions
 from tidemark.sources import external, files, literals
 from tidemark.streaming.sinks import run_to_table
@@ -156,6 +156,11 @@ def test_session_helpers(spark):
         assert size_shuffles(spark, 1) == 409_600
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    configure_aqe(spark, broadcast_threshold_mb=3)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == str(3 * 1024 * 1024)
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
     base = spark.conf.get("spark.checkpoint.dir", None)

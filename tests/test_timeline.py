@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from tidemark.operators import timeline
 from tidemark.operators.temporal import leakage_audit, point_in_time
 from tidemark.operators.timeline import last_version, with_neighbour
 
@@ -83,6 +84,17 @@ def test_seen_counts_started_versions(events, versions):
         assert row.n == sum(k == row.k and start <= row.ts for k, start in starts)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 7])
+def test_crowded_chunks_are_dealt_out_without_changing_the_result(events, versions, hot_rows, monkeypatch):
+    monkeypatch.setattr(timeline, "MAX_HOT", 10_000)
+    plain = last_version(events, versions, "k", "ts", "valid_from", ["name"], seen="n")
+    dealt = last_version(events, versions, "k", "ts", "valid_from", ["name"], seen="n", hot_rows=hot_rows)
+    assert values(dealt) == values(plain)
+    counts = events.withColumn("_chunk", timeline.chunk_of("ts")).groupBy("k", "_chunk").agg(F.count("*").alias("_facts"))
+    shares = timeline._hot_shares(counts, ["k", "_chunk"], hot_rows)
+    assert shares.filter("_shares > 1").count() > 0
+
+
 def test_leakage_audit_equals_joins(events, versions):
     dim = versions.withColumn("is_current", F.col("valid_to").isNull())
     row = leakage_audit(events, dim, "k", "ts", seconds=7200).first()

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DAY = 86_400
+MAX_HOT = 4096
 
 
 def chunk_of(ts: str | Column, seconds: int = DAY) -> Column:
@@ -70,6 +71,7 @@ def last_version(
     out: str = "_version",
     seen: str | None = None,
     seconds: int = DAY,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """For each fact the latest version of its key with ``start <= ts``.
 
@@ -77,7 +79,12 @@ def last_version(
     ``seen``: how many versions had started by then.  Of versions that start
     together the one with the greatest ``values`` counts as the latest.  Work is
     linear in facts + versions; pairs are never formed.
+
+    Facts do not depend on each other, so a chunk with more than ``hot_rows``
+    facts is dealt out over several groups, each with its own copy of the
+    chunk's versions.
     """
+    group = [key, "_chunk"]
     fact_rows = facts.withColumn("_chunk", chunk_of(ts, seconds)).withColumn(
         "_at", F.col(ts).cast("timestamp_ntz")
     )
@@ -88,19 +95,53 @@ def last_version(
         F.struct(*values).alias("_payload"),
     ).filter(F.col(key).isNotNull() & F.col("_at").isNotNull())
 
-    # One row per (key, chunk): the latest version that starts in the chunk.
+    fact_chunks = fact_rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_facts"))
+    carried = _carried_versions(points, fact_chunks, key)
+    shares = _hot_shares(fact_chunks, group, hot_rows)
+
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
+    known = (
+        points.withColumns({"_n": F.lit(1).cast("long"), "_kind": F.lit(1)})
+        .unionByName(carried.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+        .join(F.broadcast(shares), group, "left")
+        .withColumn("_share", copies)
+    )
+    dealt = (
+        fact_rows.join(F.broadcast(shares), group, "left")
+        .withColumn(
+            "_share",
+            F.coalesce(F.pmod(F.xxhash64(*facts.columns), F.col("_shares")).cast("int"), F.lit(0)),
+        )
+        .withColumn("_kind", F.lit(2))
+    )
+    timeline = dealt.unionByName(known, allowMissingColumns=True)
+    # Order inside a group: carried version, then versions before facts of equal time.
+    so_far = (
+        W.partitionBy(*group, "_share")
+        .orderBy(F.col("_kind") > 0, "_at", "_kind", "_payload")
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    result = timeline.withColumn(out, F.last("_payload", ignorenulls=True).over(so_far))
+    if seen is not None:
+        result = result.withColumn(seen, F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
+    added = [c for c in (out, seen) if c is not None]
+    return result.filter(F.col("_kind") == 2).select(*facts.columns, *added)
+
+
+def _carried_versions(points: DataFrame, fact_chunks: DataFrame, key: str) -> DataFrame:
+    """Per (key, chunk) with facts: the latest version from earlier chunks and how many
+    versions those hold.  Works on one row per chunk."""
     chunk_ends = points.groupBy(key, "_chunk").agg(
         F.max(F.struct("_at", "_payload"))["_payload"].alias("_payload"),
         F.count(F.lit(1)).alias("_n"),
     )
-    needed = fact_rows.select(key, "_chunk").distinct()
     earlier = W.partitionBy(key).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    carried = (
-        chunk_ends.unionByName(needed, allowMissingColumns=True)
+    return (
+        chunk_ends.unionByName(fact_chunks, allowMissingColumns=True)
         .groupBy(key, "_chunk")
         .agg(
             F.max(F.struct(F.col("_n").isNotNull().alias("has"), "_payload", "_n")).alias("_own"),
-            F.bool_or(F.col("_n").isNull()).alias("_needed"),
+            F.bool_or(F.col("_facts").isNotNull()).alias("_needed"),
         )
         .select(
             key,
@@ -110,23 +151,18 @@ def last_version(
             F.coalesce(F.sum(F.col("_own._n")).over(earlier), F.lit(0)).alias("_n"),
         )
         .filter(F.col("_needed") & F.col("_payload").isNotNull())
-        .select(key, "_chunk", "_payload", "_n", F.lit(0).alias("_kind"))
-    )
-    timeline = (
-        fact_rows.withColumn("_kind", F.lit(2))
-        .unionByName(
-            points.withColumn("_kind", F.lit(1)).withColumn("_n", F.lit(1).cast("long")),
-            allowMissingColumns=True,
-        )
-        .unionByName(carried, allowMissingColumns=True)
+        .drop("_needed")
     )
-    # Order inside a chunk: carried version, then versions before facts of equal time.
-    so_far = (
-        W.partitionBy(key, "_chunk")
-        .orderBy(F.col("_kind") > 0, "_at", "_kind", "_payload")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+
+
+def _hot_shares(counts: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
+    """Into how many groups each hot chunk is dealt.
+
+    Hot means more than ``hot_rows`` and more than 1/``MAX_HOT`` of all rows, so
+    there are fewer than ``MAX_HOT`` hot chunks: safe to broadcast at any volume.
+    """
+    fair = counts.agg(F.coalesce(F.sum("_facts"), F.lit(0)) / MAX_HOT).scalar()
+    limit = F.greatest(F.lit(float(hot_rows)), fair)
+    return counts.filter(F.col("_facts") > limit).select(
+        *group, F.ceil(F.col("_facts") / limit).cast("int").alias("_shares")
     )
-    result = timeline.withColumn(out, F.last("_payload", ignorenulls=True).over(so_far))
-    if seen is not None:
-        result = result.withColumn(seen, F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
-    return result.filter(F.col("_kind") == 2).drop("_chunk", "_at", "_payload", "_kind", "_n")

@@ -218,7 +218,10 @@ def overwrite_table(d: Domain):
     path = d.scratch("revenue_table")
     name = f"gold_{path[-32:]}.revenue_daily"
     tables.save_table(d.regions, name, path=path)
-    return tables.save_table(revenue_daily(d.fct_orders, d.fct_returns), name, path=path)
+    tables.save_table(revenue_daily(d.fct_orders, d.fct_returns), name, path=path)
+    # The entry was for this run only; the files at the path stay.
+    d.spark.sql(f"DROP SCHEMA {name.split('.')[0]} CASCADE")
+    return d.spark.read.parquet(path)
 
 
 @query("append_table", "SELECT order_id, customer_id, line_total, order_ts FROM fct_orders")

@@ -112,13 +112,22 @@ def late_data_audit(d: Domain):
     return orders.late_data_audit(arrived, "ts", "arrival", [5, 15])
 
 
-@query("stream_dedup", "SELECT event_id, user_id, event_type, ts FROM events")
+_VALID_EVENT_ORDERS = f"""
+    SELECT o.order_id, o.customer_id, o.product_id, quantity, CAST(o.unit_price AS DECIMAL(12,2)) AS unit_price,
+           CAST(quantity * CAST(o.unit_price AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS line_total,
+           date_trunc('second', ts) AS order_ts
+    FROM ({_EVENT_ORDERS}) o
+    WHERE event_id % 89 <> 0 AND CAST(o.unit_price AS DECIMAL(12,2)) > 0
+      AND customer_id IN (SELECT customer_id FROM customers)
+      AND product_id IN (SELECT product_id FROM products)"""
+
+
+@query("stream_dedup", _VALID_EVENT_ORDERS)
 def stream_dedup(d: Domain):
-    """Every event delivered twice; one copy of each survives."""
+    """Every order event delivered twice; the fact holds each valid order once."""
     twice = d.stream("events").unionByName(d.stream("events"))
-    once = orders.stream_dedup(ltz(twice), "event_id", "ts")
-    table = sinks.run_to_table(once, d.scratch("events_once"), d.scratch("events_once_state"))
-    return table.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    once = orders.stream_fct_orders(order_events(twice), d.customer_keys, d.products)
+    return sinks.run_to_table(once, d.scratch("orders_once"), d.scratch("orders_once_state"))
 
 
 @query(
@@ -140,19 +149,10 @@ def stream_upsert_revenue(d: Domain):
     return totals.read(d.spark)
 
 
-@query(
-    "stream_static_join",
-    f"""SELECT o.order_id, o.customer_id, o.product_id, quantity, CAST(o.unit_price AS DECIMAL(12,2)) AS unit_price,
-               CAST(quantity * CAST(o.unit_price AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS line_total,
-               date_trunc('second', ts) AS order_ts
-        FROM ({_EVENT_ORDERS}) o
-        WHERE event_id % 89 <> 0 AND CAST(o.unit_price AS DECIMAL(12,2)) > 0
-          AND customer_id IN (SELECT customer_id FROM customers)
-          AND product_id IN (SELECT product_id FROM products)""",
-)
+@query("stream_static_join", _VALID_EVENT_ORDERS)
 def stream_static_join(d: Domain):
     """A stream of orders validated against static dimensions."""
-    valid = orders.stream_valid_orders(order_events(d.stream("events")), d.customers, d.products)
+    valid = orders.stream_valid_orders(order_events(d.stream("events")), d.customer_keys, d.products)
     return sinks.run_to_table(valid, d.scratch("orders_valid"), d.scratch("orders_valid_state"))
 
 

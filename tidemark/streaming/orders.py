@@ -52,6 +52,20 @@ def stream_valid_orders(stream: DataFrame, customers: DataFrame, products: DataF
     return fct_orders(flag_orders(stream, customers, products))
 
 
+def stream_fct_orders(
+    stream: DataFrame, customers: DataFrame, products: DataFrame, delay: str = "10 minutes"
+) -> DataFrame:
+    """The streaming order fact: validated, then one row per order id.
+
+    Validation comes first, because rows without an id would all count as
+    duplicates of each other.
+    """
+    valid = stream_valid_orders(stream, customers, products)
+    timed = valid.withColumn("order_ts", F.col("order_ts").cast("timestamp"))
+    once = stream_dedup(timed, "order_id", "order_ts", delay)
+    return once.withColumn("order_ts", F.col("order_ts").cast("timestamp_ntz"))
+
+
 def stream_quality_drop(stream: DataFrame, rules: Rules) -> DataFrame:
     """Drop stream rows that fail a rule, before they reach a table."""
     return keep_valid(stream, rules)
