@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import values
+from tidemark.session import use_disk_state
 from tidemark.streaming import orders, sinks
 
 ENVELOPE = "value binary, partition int, offset long, timestamp timestamp"
@@ -65,12 +66,20 @@ def test_batch_form_of_the_same_aggregation(rows):
     assert values(orders.windowed_revenue(static, "ts", "region", "amount"), "daily_revenue") == [(Decimal(3),)]
 
 
-def test_dedup_across_batches(spark, rows, tmp_path):
+@pytest.mark.parametrize("on_disk", [False, True])
+def test_dedup_across_batches(spark, rows, tmp_path, on_disk):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    if on_disk:
+        use_disk_state(spark)
     path, schema = str(tmp_path / "in"), "id int, ts timestamp"
     for _ in range(3):
         drop(rows([(1, START), (2, START)], schema), path)
     once = orders.stream_dedup(folder_stream(spark, path, schema), "id", "ts")
-    assert values(sinks.run_to_table(once, str(tmp_path / "out"), str(tmp_path / "state")), "id") == [(1,), (2,)]
+    try:
+        assert values(sinks.run_to_table(once, str(tmp_path / "out"), str(tmp_path / "state")), "id") == [(1,), (2,)]
+    finally:
+        spark.conf.set(provider, before)
 
 
 def test_restart_continues_from_the_checkpoint(spark, rows, tmp_path):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR, values
 from tidemark.operators import layout
+from tidemark.operators.merge import scd1_upsert
 from tidemark.operators.validation import RowCountError
 from tidemark.session import configure_aqe, scratch_path, size_shuffles
 from tidemark.sinks import tables, versions
@@ -61,6 +62,7 @@ def test_reference_files(spark, rows, tmp_path):
     assert values(files.load_categories(spark, path), "sub_category", "is_seasonal") == [("b", True), ("c", None)]
     assert literals.inline_products(spark).count() == 25
     assert literals.inline_regions(spark).count() == 9
+    assert files.load_regions(spark).filter("region_code = 'nl-west' AND country = 'NL'").count() == 1
 
 
 def test_topic_options_carry_no_credentials_by_default():
@@ -121,6 +123,38 @@ def test_failed_commit_is_invisible(spark, rows, tmp_path):
     assert values(versions.as_of_version(spark, path)) == [(2,)]
 
 
+def test_restore_copies_no_rows(spark, rows, tmp_path):
+    path = str(tmp_path / "v")
+    for n, stamp in ((3, "2024-01-01 00:00:00"), (1, "2024-01-02 00:00:00")):
+        versions.commit(rows([(i,) for i in range(n)], "a int"), path, "WRITE", stamp)
+    for stamp in ("2024-01-03 00:00:00", "2024-01-04 00:00:00"):  # the second restores a restored version
+        newest = versions.restore(spark, path, "2023-12-31 00:00:00", "2024-01-01 12:00:00", stamp)
+    assert newest == 3 and versions.as_of_version(spark, path).count() == 3
+    assert len(glob.glob(f"{path}/data/version=*")) == 2
+    assert versions.commit(rows([(9,)], "a int"), path, "WRITE", "2024-01-05 00:00:00") == 4
+    assert values(versions.as_of_version(spark, path)) == [(9,)]
+
+
+def test_merge_rewrites_only_touched_buckets(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "dim"), "id int, name string"
+
+    def load(data, at):
+        return tables.create_or_merge(
+            rows(data, schema), path, "id", lambda t, s: scd1_upsert(t, s, "id", ["name"], at), buckets=4
+        )
+
+    def files_now():
+        return set(glob.glob(f"{path}/*/*.parquet"))
+
+    assert load([(i, "old") for i in range(20)], "2024-01-01").count() == 20
+    before = files_now()
+    table = load([(7, "new"), (7, "new")], "2024-01-02")
+    assert values(table.filter("name = 'new'"), "id") == [(7,)] and table.count() == 20
+    assert len(before & files_now()) == len(before) - 1
+    again = values(load([(7, "new")], "2024-01-02"))
+    assert again == values(load([(7, "new")], "2024-01-02"))
+
+
 def test_compaction_keeps_rows_in_fewer_files(spark, tmp_path):
     small, large = str(tmp_path / "s"), str(tmp_path / "l")
     orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")

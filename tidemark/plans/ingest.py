@@ -243,17 +243,17 @@ def append_table(d: Domain):
        WHERE product_id NOT IN (SELECT product_id FROM products_v2)""",
 )
 def create_or_merge(d: Domain):
-    """First run creates the product dimension, the second merges into it."""
-    paths = [d.scratch(f"products_{n}") for n in range(3)]
-    loads = [(d.products_v1, V1_DATE), (d.products_v2, V2_DATE)]
-    for step, (source, at) in enumerate(loads):
-        result = tables.create_or_merge(
+    """First run creates the product dimension, the second merges into its buckets."""
+    path = d.scratch("products")
+    for source, at in ((d.products_v1, V1_DATE), (d.products_v2, V2_DATE)):
+        table = tables.create_or_merge(
             source,
-            paths[step],
-            paths[step + 1],
+            path,
+            "product_id",
             lambda target, rows, at=at: merge.scd1_upsert(target, rows, "product_id", PRODUCT_COLUMNS, at),
+            buckets=8,
         )
-    return result
+    return table
 
 
 @query(

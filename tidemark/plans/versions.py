@@ -87,7 +87,7 @@ def as_of_version(d: Domain):
 )
 def version_history(d: Domain):
     log = versions.version_history(d.spark, order_versions(d))
-    return log.withColumn("version", F.col("version").cast("int"))
+    return log.withColumn("version", F.col("version").cast("int")).drop("data_version")
 
 
 @query("restore_version", "SELECT order_id, customer_id, line_total, order_ts FROM fct_orders")

@@ -57,6 +57,19 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_mb: int = 256
     return count
 
 
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB instead of executor memory.
+
+    For dedup windows and open days that hold many keys.  Set it, and the number
+    of shuffle partitions, before a stream's first start: both are fixed by its
+    checkpoint.
+    """
+    package = "org.apache.spark.sql.execution.streaming.state"
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass", f"{package}.RocksDBStateStoreProvider"
+    )
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder named by ``spark.checkpoint.dir``.
 

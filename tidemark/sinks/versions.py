@@ -1,20 +1,21 @@
-"""Table versions: one data folder per version and a small history table.
+"""Table versions: one data folder per written version and a small history table.
 
-``<path>/data/version=n`` holds the rows, ``<path>/history`` one row per version
-(number, time, operation, row count).  The history row is written last, so a
-version exists only when its data is complete, and finding a version never
-touches the data of the others.
+``<path>/data/version=n`` holds the rows, ``<path>/history`` one row per version:
+its number, time, operation, row count, and the version whose folder holds its
+rows (another one after a restore, which copies nothing).  The history row is
+written last, so a version exists only when its data is complete, and finding a
+version never touches the data of the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.validation import RowCountError
 from tidemark.sinks.tables import read_if_exists
 
-HISTORY = "version LONG, committed_at TIMESTAMP_NTZ, operation STRING, row_count LONG"
+HISTORY = "version LONG, committed_at TIMESTAMP_NTZ, operation STRING, row_count LONG, data_version LONG"
 
 
 def version_history(spark: SparkSession, path: str) -> DataFrame:
@@ -30,14 +31,10 @@ def commit(df: DataFrame, path: str, operation: str, committed_at: str) -> int:
     same number and overwrites the partial folder.
     """
     spark = df.sparkSession
-    last = version_history(spark, path).agg(F.max("version")).first()[0]
-    version = 0 if last is None else last + 1
+    version = _next_version(spark, path)
     df.write.mode("overwrite").parquet(_folder(path, version))
     rows = spark.read.parquet(_folder(path, version)).count()
-    entry = spark.createDataFrame([(version, None, operation, rows)], HISTORY).withColumn(
-        "committed_at", F.lit(committed_at).cast("timestamp_ntz")
-    )
-    entry.coalesce(1).write.mode("append").parquet(f"{path}/history")
+    _record(spark, path, (version, None, operation, rows, version), committed_at)
     return version
 
 
@@ -72,23 +69,43 @@ def as_of_version(
     found = find_version(spark, path, version, ts)
     if found is None:
         return spark.read.parquet(_folder(path, 0)).limit(0)
-    return spark.read.parquet(_folder(path, found))
+    return spark.read.parquet(_folder(path, _entry(spark, path, found)["data_version"]))
 
 
 def restore(
     spark: SparkSession, path: str, after: str, before: str, committed_at: str, min_rows: int = 1
 ) -> int:
-    """Commit again, as the newest version, the last one from the open range (after, before).
+    """Make the last version from the open range (after, before) the newest again.
 
     Raises before anything is written when that version has under ``min_rows`` rows.
     """
     chosen = find_version(spark, path, after=after, before=before)
     if chosen is None:
         raise ValueError(f"no version between {after} and {before}")
-    rows = version_history(spark, path).filter(F.col("version") == chosen).first()["row_count"]
-    if rows < min_rows:
-        raise RowCountError(f"version {chosen} has {rows} rows, expected at least {min_rows}")
-    return commit(as_of_version(spark, path, chosen), path, "RESTORE", committed_at)
+    entry = _entry(spark, path, chosen)
+    if entry["row_count"] < min_rows:
+        raise RowCountError(
+            f"version {chosen} has {entry['row_count']} rows, expected at least {min_rows}"
+        )
+    version = _next_version(spark, path)
+    _record(spark, path, (version, None, "RESTORE", entry["row_count"], entry["data_version"]), committed_at)
+    return version
+
+
+def _next_version(spark: SparkSession, path: str) -> int:
+    last = find_version(spark, path)
+    return 0 if last is None else last + 1
+
+
+def _entry(spark: SparkSession, path: str, version: int) -> Row:
+    return version_history(spark, path).filter(F.col("version") == version).first()
+
+
+def _record(spark: SparkSession, path: str, entry: tuple, committed_at: str) -> None:
+    row = spark.createDataFrame([entry], HISTORY).withColumn(
+        "committed_at", F.lit(committed_at).cast("timestamp_ntz")
+    )
+    row.coalesce(1).write.mode("append").parquet(f"{path}/history")
 
 
 def _folder(path: str, version: int) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.enrich import broadcast_if_small
 from tidemark.sources import schemas
+from tidemark.sources.literals import inline_regions
 
 
 class SchemaMismatch(ValueError):
@@ -71,9 +72,21 @@ def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int
     )
 
 
-def load_regions(spark: SparkSession, path: str) -> DataFrame:
-    """Region reference rows, marked for broadcast when measured small."""
-    return broadcast_if_small(spark.read.option("header", True).schema(schemas.REGIONS).csv(path))
+def load_regions(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Region reference rows, marked for broadcast when measured small.
+
+    Without a path: the built-in delivery regions, whose time zone is unknown.
+    """
+    if path is None:
+        rows = inline_regions(spark).select(
+            F.col("region_id").alias("region_code"),
+            "region_name",
+            F.col("country_code").alias("country"),
+            F.lit(None).cast("string").alias("timezone"),
+        )
+    else:
+        rows = spark.read.option("header", True).schema(schemas.REGIONS).csv(path)
+    return broadcast_if_small(rows)
 
 
 def load_categories(spark: SparkSession, path: str) -> DataFrame:
