@@ -15,6 +15,13 @@ from tidemark.operators.timeline import last_version, with_neighbour
 START = dt.datetime(2024, 1, 1)
 
 
+@pytest.fixture(autouse=True, params=["all hot", "one hot", "none hot"])
+def hot(request, monkeypatch):
+    """Run every test with all keys cut into chunks, with the largest only, and with none."""
+    monkeypatch.setattr(timeline, "HOT_ROWS", {"all hot": 0, "one hot": 200, "none hot": 10**6}[request.param])
+    return request.param
+
+
 def at(hours):
     return START + dt.timedelta(hours=hours)
 
@@ -85,14 +92,19 @@ def test_seen_counts_started_versions(events, versions):
 
 
 @pytest.mark.parametrize("hot_rows", [1, 7])
-def test_crowded_chunks_are_dealt_out_without_changing_the_result(events, versions, hot_rows, monkeypatch):
-    monkeypatch.setattr(timeline, "MAX_HOT", 10_000)
-    plain = last_version(events, versions, "k", "ts", "valid_from", ["name"], seen="n")
+def test_crowded_chunks_are_dealt_out_without_changing_the_result(events, versions, hot_rows):
+    plain = last_version(events, versions, "k", "ts", "valid_from", ["name"], seen="n", hot_rows=10**6)
     dealt = last_version(events, versions, "k", "ts", "valid_from", ["name"], seen="n", hot_rows=hot_rows)
     assert values(dealt) == values(plain)
-    counts = events.withColumn("_chunk", timeline.chunk_of("ts")).groupBy("k", "_chunk").agg(F.count("*").alias("_facts"))
-    shares = timeline._hot_shares(counts, ["k", "_chunk"], hot_rows)
-    assert shares.filter("_shares > 1").count() > 0
+    counts = events.withColumn("_chunk", timeline.chunk_of("ts")).groupBy("k", "_chunk").agg(F.count("*").alias("_rows"))
+    assert timeline.hot_groups(counts, ["k", "_chunk"], hot_rows).filter("_shares > 1").count() > 0
+
+
+def test_only_the_largest_groups_are_fetched(rows, monkeypatch):
+    monkeypatch.setattr(timeline, "MAX_HOT", 2)
+    counts = rows([(f"k{i}", 10) for i in range(10)] + [("big", 100), ("mid", 50)], "k string, _rows long")
+    assert values(timeline.hot_groups(counts, ["k"], hot_rows=1)) == [("big", 100), ("mid", 50)]
+    assert timeline.hot_groups(counts, ["k"], hot_rows=100) is None
 
 
 def test_leakage_audit_equals_joins(events, versions):

@@ -1,22 +1,25 @@
 """Ordered operators along a key's timeline that survive hot keys.
 
 A plain window over ``partitionBy(key)`` puts all rows of one key into one task.
-Here the timeline of a key is cut into fixed time chunks.  Each chunk is handled
-on its own, and one boundary row per (key, chunk) carries what a chunk has to
-know from its neighbours.  Boundary rows come from map-side aggregates, so the
-only full shuffle is the one of the final window, over (key, chunk).
+So rows are counted per key first (reduced on the map side).  Where no key is
+hot, the plain window follows.  Otherwise the timeline of each *hot* key is cut
+into fixed time chunks, each a window group of its own, and one boundary row per
+(key, chunk) carries what a chunk has to know from its neighbours.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DAY = 86_400
+HOT_ROWS = 1_000_000
 MAX_HOT = 4096
+MAX_SHARES = 4096
 
 
 def chunk_of(ts: str | Column, seconds: int = DAY) -> Column:
@@ -25,6 +28,21 @@ def chunk_of(ts: str | Column, seconds: int = DAY) -> Column:
     return F.floor(F.unix_timestamp(column.cast("timestamp")) / F.lit(seconds)).cast("long")
 
 
+def hot_groups(counts: DataFrame, group: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+    """Groups of a ``group..., _rows`` frame with more than ``hot_rows`` rows, or None.
+
+    At most the ``MAX_HOT`` largest are fetched.  Any group beyond them holds
+    under 1/``MAX_HOT`` of all rows and is no larger than a normal partition.
+    ``_shares`` says into how many parts of that size a group would fall.
+    """
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    found = counts.filter(F.col("_rows") > limit).orderBy(F.desc("_rows")).limit(MAX_HOT).collect()
+    if not found:
+        return None
+    shares = F.least(F.ceil(F.col("_rows") / F.lit(max(limit, 1))), F.lit(MAX_SHARES)).cast("int")
+    return counts.sparkSession.createDataFrame(found, counts.schema).select(*group, shares.alias("_shares"))
+
+
 def with_neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,17 +52,23 @@ def with_neighbour(
     *,
     following: bool,
     seconds: int = DAY,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add struct ``out``: ``values`` of the next (or previous) row of the same key.
 
     ``order`` starts with the time column and must identify a row within its key.
     ``out`` is NULL at the end of the timeline, never for a NULL neighbour value.
     """
+    shift = F.lead if following else F.lag
+    hot = hot_groups(_count(df, keys), keys, hot_rows)
+    if hot is None:
+        return df.withColumn(out, shift(F.struct(*values)).over(W.partitionBy(*keys).orderBy(*order)))
+
     pick, step = (F.min, F.lag) if following else (F.max, F.lead)
-    rows = df.withColumn("_chunk", chunk_of(order[0], seconds)).withColumn(
+    rows = _with_chunk(df, keys, order[0], hot, seconds).withColumn(
         "_point", F.struct(*[F.col(c) for c in order], F.struct(*values).alias("_value"))
     )
-    edges = rows.groupBy(*keys, "_chunk").agg(pick("_point").alias("_point"))
+    edges = rows.filter(F.col("_chunk").isNotNull()).groupBy(*keys, "_chunk").agg(pick("_point").alias("_point"))
     # The edge row of a chunk is lent to the neighbouring chunk of that key.
     lent = edges.withColumn(
         "_chunk", step("_chunk").over(W.partitionBy(*keys).orderBy("_chunk"))
@@ -53,11 +77,10 @@ def with_neighbour(
         lent.withColumn("_lent", F.lit(True)), allowMissingColumns=True
     )
     window = W.partitionBy(*keys, "_chunk").orderBy(*[F.col(f"_point.{c}") for c in order])
-    shift = F.lead if following else F.lag
     return (
         both.withColumn(out, shift("_point").over(window)["_value"])
         .filter(~F.col("_lent"))
-        .drop("_chunk", "_point", "_lent")
+        .select(*df.columns, out)
     )
 
 
@@ -71,7 +94,7 @@ def last_version(
     out: str = "_version",
     seen: str | None = None,
     seconds: int = DAY,
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """For each fact the latest version of its key with ``start <= ts``.
 
@@ -79,55 +102,87 @@ def last_version(
     ``seen``: how many versions had started by then.  Of versions that start
     together the one with the greatest ``values`` counts as the latest.  Work is
     linear in facts + versions; pairs are never formed.
-
-    Facts do not depend on each other, so a chunk with more than ``hot_rows``
-    facts is dealt out over several groups, each with its own copy of the
-    chunk's versions.
     """
-    group = [key, "_chunk"]
-    fact_rows = facts.withColumn("_chunk", chunk_of(ts, seconds)).withColumn(
-        "_at", F.col(ts).cast("timestamp_ntz")
-    )
-    points = versions.select(
-        F.col(key),
-        chunk_of(start, seconds).alias("_chunk"),
+    members = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
+    counted = _count(facts, [key]).unionByName(_count(members, [key]))
+    hot = hot_groups(counted.groupBy(key).agg(F.sum("_rows").alias("_rows")), [key], hot_rows)
+    points = members.select(
+        key,
+        start,
         F.col(start).cast("timestamp_ntz").alias("_at"),
         F.struct(*values).alias("_payload"),
-    ).filter(F.col(key).isNotNull() & F.col("_at").isNotNull())
-
-    fact_chunks = fact_rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_facts"))
-    carried = _carried_versions(points, fact_chunks, key)
-    shares = _hot_shares(fact_chunks, group, hot_rows)
-
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
-    known = (
-        points.withColumns({"_n": F.lit(1).cast("long"), "_kind": F.lit(1)})
-        .unionByName(carried.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-        .join(F.broadcast(shares), group, "left")
-        .withColumn("_share", copies)
+        F.lit(1).cast("long").alias("_n"),
+        F.lit(1).alias("_kind"),
     )
-    dealt = (
-        fact_rows.join(F.broadcast(shares), group, "left")
-        .withColumn(
-            "_share",
-            F.coalesce(F.pmod(F.xxhash64(*facts.columns), F.col("_shares")).cast("int"), F.lit(0)),
+    fact_rows = facts.withColumns({"_at": F.col(ts).cast("timestamp_ntz"), "_kind": F.lit(2)})
+    if hot is None:
+        group, known = [key], points.drop(start)
+    else:
+        group = [key, "_chunk", "_share"]
+        fact_rows, known = _cut(
+            _with_chunk(fact_rows, [key], ts, hot, seconds),
+            _with_chunk(points, [key], start, hot, seconds).drop(start),
+            facts.columns,
+            key,
+            hot_rows,
         )
-        .withColumn("_kind", F.lit(2))
-    )
-    timeline = dealt.unionByName(known, allowMissingColumns=True)
     # Order inside a group: carried version, then versions before facts of equal time.
     so_far = (
-        W.partitionBy(*group, "_share")
+        W.partitionBy(*group)
         .orderBy(F.col("_kind") > 0, "_at", "_kind", "_payload")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    result = timeline.withColumn(out, F.last("_payload", ignorenulls=True).over(so_far))
+    result = fact_rows.unionByName(known, allowMissingColumns=True).withColumn(
+        out, F.last("_payload", ignorenulls=True).over(so_far)
+    )
     if seen is not None:
         result = result.withColumn(seen, F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
     added = [c for c in (out, seen) if c is not None]
     return result.filter(F.col("_kind") == 2).select(*facts.columns, *added)
 
 
+def _cut(
+    fact_rows: DataFrame, points: DataFrame, columns: Sequence[str], key: str, hot_rows: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """Facts and versions with ``_share``, the versions with those carried into each chunk.
+
+    Facts do not depend on each other, so a chunk that is still too large is
+    dealt out over several groups, each with its own copy of the chunk's versions.
+    """
+    group = [key, "_chunk"]
+    chunks = _count(fact_rows.filter(F.col("_chunk").isNotNull()), group)
+    carried = _carried_versions(points.filter(F.col("_chunk").isNotNull()), chunks, key)
+    known = points.unionByName(carried.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    shares = hot_groups(chunks, group, hot_rows)
+    if shares is None:
+        return fact_rows.withColumn("_share", F.lit(0)), known.withColumn("_share", F.lit(0))
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
+    share = F.pmod(F.xxhash64(*columns), F.col("_shares")).cast("int")
+    return (
+        fact_rows.join(F.broadcast(shares), group, "left")
+        .withColumn("_share", F.coalesce(share, F.lit(0)))
+        .drop("_shares"),
+        known.join(F.broadcast(shares), group, "left").withColumn("_share", copies).drop("_shares"),
+    )
+
+
+def _count(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _with_chunk(
+    df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame, seconds: int
+) -> DataFrame:
+    """Add ``_chunk``: the time chunk for rows of a hot key, NULL for all others."""
+    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    return (
+        df.join(F.broadcast(marks), same, "left")
+        .withColumn("_chunk", F.when(F.col("_hot"), chunk_of(ts, seconds)))
+        .select(*df.columns, "_chunk")
+    )
+
+
 def _carried_versions(points: DataFrame, fact_chunks: DataFrame, key: str) -> DataFrame:
     """Per (key, chunk) with facts: the latest version from earlier chunks and how many
     versions those hold.  Works on one row per chunk."""
@@ -141,7 +196,7 @@ def _carried_versions(points: DataFrame, fact_chunks: DataFrame, key: str) -> Da
         .groupBy(key, "_chunk")
         .agg(
             F.max(F.struct(F.col("_n").isNotNull().alias("has"), "_payload", "_n")).alias("_own"),
-            F.bool_or(F.col("_facts").isNotNull()).alias("_needed"),
+            F.bool_or(F.col("_rows").isNotNull()).alias("_needed"),
         )
         .select(
             key,
@@ -153,16 +208,3 @@ def _carried_versions(points: DataFrame, fact_chunks: DataFrame, key: str) -> Da
         .filter(F.col("_needed") & F.col("_payload").isNotNull())
         .drop("_needed")
     )
-
-
-def _hot_shares(counts: DataFrame, group: Sequence[str], hot_rows: int) -> DataFrame:
-    """Into how many groups each hot chunk is dealt.
-
-    Hot means more than ``hot_rows`` and more than 1/``MAX_HOT`` of all rows, so
-    there are fewer than ``MAX_HOT`` hot chunks: safe to broadcast at any volume.
-    """
-    fair = counts.agg(F.coalesce(F.sum("_facts"), F.lit(0)) / MAX_HOT).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), fair)
-    return counts.filter(F.col("_facts") > limit).select(
-        *group, F.ceil(F.col("_facts") / limit).cast("int").alias("_shares")
-    )
