@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tests.conftest import values
 from tidemark.operators import history as h
