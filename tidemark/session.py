@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MEGABYTE = 1024 * 1024
 
@@ -73,12 +72,19 @@ def use_disk_state(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine; on
-    a cluster executors would not see each other's files there.
+    Where that is unset (as in tests) the session's warehouse location serves: it
+    is shared between driver and executors too, unlike a machine's own folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidemark-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and read it back.
+
+    For a result that a plan uses several times: it is computed once, and lost
+    executors cost a reread instead of the work behind it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
