@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash, toxicity
+from tidemark.llm import decontaminate, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,31 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op6_decontamination",
+    f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS w FROM documents),
+             items AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+             item_windows AS (
+               SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p : p + least(len(w), 10) - 1], ' ') AS win
+               FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS p FROM items WHERE len(w) > 0)),
+             doc_windows AS (
+               SELECT r, n, p, array_to_string(w[p : p + n - 1], ' ') AS win
+               FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p
+                     FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
+             found AS (SELECT r, p, i.n, item_id FROM doc_windows d JOIN item_windows i ON d.win = i.win AND d.n = i.n),
+             hit AS (SELECT r, count(DISTINCT q) AS n_hit
+                     FROM (SELECT r, unnest(range(p, p + n)) AS q FROM found) GROUP BY r),
+             named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                       FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""",
+)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.words import row_hash
 from tidemark.session import stored
 
 SEED = 42
@@ -71,10 +72,6 @@ def fingerprints(documents: DataFrame, shingle: int = 4) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, row_hash long, fp long")
 
 
-def row_hash(documents: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in documents.columns])
-
-
 def _segment(fp: Column, i: int) -> Column:
     first, width = SEGMENTS[i % len(SEGMENTS)]
     return F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))

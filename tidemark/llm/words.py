@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 PIECE_BYTES = 8 << 20
 
@@ -105,3 +107,8 @@ def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 def row_sums(values: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
     return np.bincount(rows, weights=values, minlength=n_rows)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a whole row: with its id, tells it from other rows that share the id."""
+    return F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
