@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, secrets, simhash, toxicity
+from tidemark.llm import decontaminate, logbilinear, mixing, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secrets")
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_logbilinear")
+def op8_logbilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return logbilinear.score(table(spark, sf_dir, "documents"))
