@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, logbilinear, mixing, secrets, simhash, toxicity
+from tidemark.llm import decontaminate, logbilinear, mixing, secrets, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_logbilinear")
 def op8_logbilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logbilinear.score(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_warc",
+    """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+            d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+            bits AS (SELECT page_id, n, h, max(page_id) OVER (PARTITION BY h) AS top,
+                       array_to_string(list_transform(range(0, 40, 5), lambda i: (
+                         WITH_BITS(substr(h, CAST(i + 1 AS INTEGER), 5)))), '') AS digest FROM d)
+       SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+              CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+              CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to FROM bits""".replace(
+        "WITH_BITS(substr(h, CAST(i + 1 AS INTEGER), 5))",
+        "array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+        "CAST(((CAST('0x' || substr(h, CAST(i + 1 AS INTEGER), 5) AS BIGINT) >> s) & 31) + 1 AS INTEGER), 1)), '')",
+    ),
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
