@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, logbilinear, mixing, secrets, simhash, toxicity, warc
+from tidemark.llm import decontaminate, logbilinear, mixing, repeats, secrets, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,8 @@ def op8_logbilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op7_repeats")
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
