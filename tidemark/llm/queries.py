@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, logbilinear, mixing, repeats, secrets, simhash, toxicity, warc
+from tidemark.llm import decontaminate, logbilinear, mixing, neighbours, repeats, secrets, simhash, tokens, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +105,20 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_repeats")
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.report(table(spark, sf_dir, "documents"))
+
+
+VOCABULARY = "piece_bpe_32k.model"
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = str(public_tokenizers.path(VOCABULARY))
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokens.load(vocabulary))
+
+
+@query("op4_nearest")
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
