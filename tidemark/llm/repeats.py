@@ -8,18 +8,21 @@ need comparing.  Neighbouring windows with one anchor are a *run*: the bytes the
 1. Runs are hashed in one pass over the texts.  Runs that agree byte by byte are a class
    (aggregated before the shuffle, so copies of a document, however many, are one row); all
    windows of a class with two members are repeated.
-2. Where an anchor has several classes, one run per class is sent, by anchor, to tasks
-   that build the suffix order of a bounded collection of runs *column-wise*: each round
-   puts one symbol in front of every run, which moves the collection's Burrows-Wheeler
-   transform and its common prefixes on to the next column.  Both live in sequential
-   files that a round reads once and writes anew.  A suffix whose common prefix with a
-   neighbour has ``LENGTH`` bytes is a repeated window.  The anchor itself, equal in all
-   runs of a group, is a single symbol of weight ``GRAM``.
-3. Anchors with more than ``CROWD`` classes (a phrase in very many different
-   surroundings) are not gathered: their windows are hashed and counted by an
-   aggregate, which says the same.
-
-Equality in steps 1 and 3 is that of 128-bit hashes, in step 2 of bytes.
+2. Where an anchor has several classes, one run of each is cut into stretches of ``STRETCH``
+   windows by the distance from the anchor.  The bytes that all windows of a stretch
+   share are its *core*; what it has before and behind is shorter than a stretch.
+   Stretches that agree are classes again.
+3. Where a core has several classes, they are sent, by core, to tasks that build the
+   suffix order of a bounded collection *column-wise*: each round puts one symbol in
+   front of every member, which moves the collection's Burrows-Wheeler transform
+   and its common prefixes on to the next column.  Both live in sequential files that
+   a round reads once and writes anew.  The core, equal in a group, is one symbol that weighs
+   its bytes.  A suffix whose common prefix with a neighbour has ``LENGTH`` bytes is a repeated
+   window.
+4. Cores with more than ``CROWD`` classes (a phrase in very many different surroundings)
+   are not gathered: their windows are counted by an aggregate, which says the same.
+
+Equality of runs and cores is that of 128-bit hashes, all else is compared by bytes.
 
 Defined results: null text is empty; texts shorter than a window lose nothing; text
 repeated within a document counts; strings may not cross documents; repeated rows lose
@@ -38,6 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.words import pieces, row_hash
 from tidemark.session import stored
@@ -45,11 +49,12 @@ from tidemark.session import stored
 LENGTH = 400
 GRAM = 200
 CROWD = 4096
-COLLECTION = 1024  # runs that one suffix order holds
+STRETCH = 32
+COLLECTION = 2048  # members of one suffix order, but for the rest of a core's classes
 SLICE = 1 << 20  # bytes of a text hashed at a time
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _PLACE = np.uint64(0xFFFFFF)
-_ANCHOR = 257  # symbol; bytes are 1 to 256, 0 is "nothing in front"
+_CORE = 257  # symbol of the first core; bytes are 1 to 256, 0 is "nothing in front"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -126,55 +131,58 @@ def hashed_runs(rows: DataFrame, length: int, gram: int) -> DataFrame:
     )
 
 
-def _cut_out(wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of each wanted run, or the hashes of its windows where its anchor is crowded."""
+def _cut_out(wanted: DataFrame, length: int, stretch: int) -> DataFrame:
+    """Stretches of the wanted runs: hash of the core, and the bytes before and behind it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            row, columns = [], [[] for _ in range(7)]
+            row, columns = [], [[] for _ in range(6)]
             for i, (text, items) in enumerate(zip(piece.column("text"), piece.column("runs").to_pylist(), strict=True)):
                 data = _bytes(text)
                 for item in items:
-                    first, number = item["first"], item["number"]
-                    if item["crowded"]:
-                        found = [(None, *_halves(data[p : p + length]), p, 1, 0, None) for p in range(first, first + number)]
-                    else:
-                        whole = data[first : first + number + length - 1]
-                        found = [(item["anchor"], None, None, first, number, item["at"] - first, whole)]
-                    for values in found:
+                    at, first, last = item["at"], item["first"], item["first"] + item["number"] - 1
+                    for block in range((at - last) // stretch, (at - first) // stretch + 1):
+                        core = at - block * stretch  # last window of a whole stretch
+                        behind = core - stretch + 1 + length
+                        low, high = max(first, core - stretch + 1), min(last, core)
+                        values = (
+                            *_halves(data[core:behind]), low, high - low + 1, data[low:core], data[behind : high + length]
+                        )
                         row.append(i)
                         for column, value in zip(columns, values, strict=True):
                             column.append(value)
             at_rows = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id").take(at_rows), piece.column("row_hash").take(at_rows)]
-                + [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.binary())],
-                names=["doc_id", "row_hash", "anchor", "h1", "h2", "first", "number", "offset", "data"],
+                + [pa.array(c, pa.int64()) for c in columns[:4]] + [pa.array(c, pa.binary()) for c in columns[4:]],
+                names=["doc_id", "row_hash", "c1", "c2", "first", "number", "before", "behind"],
             )
 
     kind = wanted.schema["doc_id"].dataType.simpleString()
     return wanted.mapInArrow(
-        run,
-        f"doc_id {kind}, row_hash long, anchor long, h1 long, h2 long, first long, number long, offset long, data binary",
+        run, f"doc_id {kind}, row_hash long, c1 long, c2 long, first long, number long, before binary, behind binary"
     )
 
 
 _RECORD = np.dtype([("bwt", np.uint16), ("lcp", np.uint16), ("run", np.int32), ("place", np.uint16)])
 
 
-def repeated_places(runs: list[bytes], offsets: list[int], length: int, gram: int, folder: str) -> list[np.ndarray]:
-    """Starts of the windows of each run that also stand elsewhere in the collection.
+def repeated_places(
+    members: list[tuple[int, bytes, bytes]], length: int, core_bytes: int, folder: str
+) -> list[np.ndarray]:
+    """Starts of the windows of each member that also stand elsewhere in the collection.
 
-    ``runs[i]`` holds its anchor at ``offsets[i]``.  The file of a round holds, in the order of
-    the suffixes so far: the symbol in front, the common prefix with the suffix
-    above (in bytes, ``length`` at most), the run and the place.
+    A member is (number of its core, bytes before the core, bytes behind it).  The file of a
+    round holds, in the order of the suffixes so far: the symbol in front, the common
+    prefix with the suffix above (in bytes, ``length`` at most), the member and the place.
     """
+    one = np.uint16(1)
     symbols = [
         np.concatenate((
-            np.frombuffer(data[:at], np.uint8).astype(np.uint16) + np.uint16(1), np.array([_ANCHOR], np.uint16),
-            np.frombuffer(data[at + gram :], np.uint8).astype(np.uint16) + np.uint16(1),
+            np.frombuffer(before, np.uint8).astype(np.uint16) + one, np.array([_CORE + core], np.uint16),
+            np.frombuffer(behind, np.uint8).astype(np.uint16) + one,
         ))
-        for data, at in zip(runs, offsets, strict=True)
+        for core, before, behind in members
     ]
     m = len(symbols)
     sizes = np.array([len(s) for s in symbols])
@@ -212,7 +220,7 @@ def repeated_places(runs: list[bytes], offsets: list[int], length: int, gram: in
                 order = np.argsort(upper)
                 pairs = np.stack([upper[order] + 1, lower[order] + 1], axis=1).ravel()
                 least = np.minimum.reduceat(np.append(lcp, np.uint16(0)), pairs)[::2]
-                weight = np.where(bwt[upper[order]] == _ANCHOR, gram, 1)
+                weight = np.where(bwt[upper[order]] >= _CORE, core_bytes, 1)
                 found[inner[order]] = np.minimum(least.astype(np.int64) + weight, length)
             return found
 
@@ -247,47 +255,47 @@ def _intervals(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(s[0]), int(s[-1]) + length) for s in np.split(starts, cuts)]
 
 
-def _sorted_collections(strings: DataFrame, length: int, gram: int) -> DataFrame:
-    """Repeated intervals among the runs of each anchor; runs of an anchor come together."""
+def _sorted_collections(strings: DataFrame, length: int, stretch: int) -> DataFrame:
+    """Repeated intervals among the stretches of each core; those of a core come together."""
+    kind = to_arrow_type(strings.schema["doc_id"].dataType)
 
     def solve(held: list[dict]):
+        cores: dict = {}
+        members = [(cores.setdefault((h["c1"], h["c2"]), len(cores)), h["before"], h["behind"]) for h in held]
         with tempfile.TemporaryDirectory() as folder:
-            places = repeated_places([h["data"] for h in held], [h["offset"] for h in held], length, gram, folder)
+            places = repeated_places(members, length, length - stretch + 1, folder)
         for item, starts in zip(held, places, strict=True):
             for left, right in _intervals(np.unique(starts), length):
                 yield item["doc_id"], item["row_hash"], item["first"] + left, item["first"] + right
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for piece in pieces(batches, "data"):
-                yield from piece.to_pylist()
-
-        def collections():
-            held, last = [], None
-            for item in rows():
-                if len(held) >= COLLECTION and item["anchor"] != last:
+    def collections(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+        held, last = [], None
+        for batch in batches:
+            for item in batch.to_pylist():
+                core = (item["c1"], item["c2"])
+                if len(held) >= COLLECTION and core != last:
                     yield held
                     held = []
                 held.append(item)
-                last = item["anchor"]
-            if held:
-                yield held
+                last = core
+        if held:
+            yield held
 
-        for held in collections():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in collections(batches):
             found = list(solve(held))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], kind), *(pa.array([f[i] for f in found], pa.int64()) for i in (1, 2, 3))],
                 names=["doc_id", "row_hash", "start", "end"],
             )
 
-    kind_name = strings.schema["doc_id"].dataType.simpleString()
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    kind = to_arrow_type(strings.schema["doc_id"].dataType)
-    return strings.mapInArrow(run, f"doc_id {kind_name}, row_hash long, start long, end long")
+    name = strings.schema["doc_id"].dataType.simpleString()
+    return strings.mapInArrow(run, f"doc_id {name}, row_hash long, start long, end long")
 
 
-def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+def repeats(
+    documents: DataFrame, length: int = LENGTH, gram: int = GRAM, stretch: int = STRETCH, crowd: int = CROWD
+) -> DataFrame:
     """doc_id, row_hash, start, end: byte intervals covered by repeated windows (they may overlap)."""
     rows = documents.select("doc_id", row_hash(documents).alias("row_hash"), "text")
     runs = stored(hashed_runs(rows, length, gram), "runs")
@@ -305,21 +313,43 @@ def repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd:
     shared = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     chosen = classes.join(shared, "anchor").select(
         "run.doc_id", "run.row_hash",
-        F.struct("anchor", "run.first", "run.number", "run.at", (F.col("k") > crowd).alias("crowded")).alias("r"),
+        F.struct("run.first", "run.number", "run.at").alias("r"),
     )
     per_row = chosen.groupBy("doc_id", "row_hash").agg(F.collect_list("r").alias("runs"))
     keyed = per_row.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), "runs")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_hash") == F.col("_hash"))
-    cut = stored(_cut_out(rows.join(keyed, same).select("doc_id", "row_hash", "text", "runs"), length), "cut-out")
-
-    strings = cut.filter("data IS NOT NULL").select("doc_id", "row_hash", "anchor", "first", "offset", "data")
-    sorted_runs = _sorted_collections(strings.repartition("anchor").sortWithinPartitions("anchor"), length, gram)
-    crowded = cut.filter("data IS NULL")
-    twice = crowded.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
-    counted = crowded.join(twice, ["h1", "h2"]).select(
-        "doc_id", "row_hash", F.col("first").alias("start"), (F.col("first") + length).alias("end")
+    wanted = rows.join(keyed, same).select("doc_id", "row_hash", "text", "runs")
+    cut = stored(_cut_out(wanted, length, stretch), "stretches")
+
+    core, alike = ["c1", "c2"], ["c1", "c2", "before", "behind"]
+    kinds = stored(
+        cut.groupBy(*alike).agg(
+            F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "row_hash", "first", "number")).alias("run")
+        ), "stretch-classes"
+    )
+    agreeing = cut.join(kinds.filter("copies > 1").select(*alike), alike).select(
+        "doc_id", "row_hash", F.col("first").alias("start"), (F.col("first") + F.col("number") + (length - 1)).alias("end")
+    )
+    groups = kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    varied = stored(kinds.join(groups, core).select(*alike, "k", "run.*"), "varied-stretches")
+    gathered = varied.filter(F.col("k") <= crowd).drop("k", "number")
+    sorted_runs = _sorted_collections(gathered.repartition(*core).sortWithinPartitions(*core), length, stretch)
+    return whole.unionByName(agreeing).unionByName(sorted_runs).unionByName(
+        _counted(varied.filter(F.col("k") > crowd), length, stretch)
+    )
+
+
+def _counted(crowded: DataFrame, length: int, stretch: int) -> DataFrame:
+    """Repeated windows of crowded stretches, by counting: a window is its core and what it has on either side."""
+    i = F.col("i")
+    windows = crowded.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("number") - 1)).alias("i")).select(
+        "doc_id", "row_hash", "c1", "c2", (F.col("first") + i).alias("start"),
+        F.expr("substring(before, CAST(i + 1 AS INT))").alias("left"),
+        F.expr(f"substring(behind, 1, CAST({stretch - 1} - length(before) + i AS INT))").alias("right"),
     )
-    return whole.unionByName(sorted_runs).unionByName(counted)
+    key = ["c1", "c2", "left", "right"]
+    twice = windows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
+    return windows.join(twice, key).select("doc_id", "row_hash", "start", (F.col("start") + length).alias("end"))
 
 
 def _removal(intervals: list[dict], data: bytes) -> tuple[int, int, str]:
