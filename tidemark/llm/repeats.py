@@ -22,7 +22,8 @@ need comparing.  Neighbouring windows with one anchor are a *run*: the bytes the
 4. Cores with more than ``CROWD`` classes (a phrase in very many different surroundings)
    are not gathered: their windows are counted by an aggregate, which says the same.
 
-Equality of runs and cores is that of 128-bit hashes, all else is compared by bytes.
+Equality of runs and cores is that of 128 bits of hash (for runs, 64 of the anchor and 64
+of the whole), all else is compared by bytes.
 
 Defined results: null text is empty; texts shorter than a window lose nothing; text
 repeated within a document counts; strings may not cross documents; repeated rows lose
@@ -44,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.words import pieces, row_hash
+from tidemark.operators.keys import splittable_groups
 from tidemark.session import stored
 
 LENGTH = 400
@@ -110,24 +112,25 @@ def hashed_runs(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = Runs(length, gram)
         for piece in pieces(batches):
-            row, columns = [], [[] for _ in range(6)]
+            row, columns = [], [[] for _ in range(5)]
             for i, text in enumerate(piece.column("text")):
                 data = _bytes(text)
                 for anchor, first, number, at in runs(data):
                     row.append(i)
-                    values = (anchor, *_halves(data[first : first + number + length - 1]), first, number, at)
+                    whole = xxhash.xxh3_64_intdigest(data[first : first + number + length - 1])
+                    values = (anchor, whole - (1 << 64) if whole >> 63 else whole, first, number, at)
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
             at_rows = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id").take(at_rows), piece.column("row_hash").take(at_rows)]
                 + [pa.array(c, pa.int64()) for c in columns],
-                names=["doc_id", "row_hash", "anchor", "h1", "h2", "first", "number", "at"],
+                names=["doc_id", "row_hash", "anchor", "whole", "first", "number", "at"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, row_hash long, anchor long, h1 long, h2 long, first long, number long, at long"
+        run, f"doc_id {kind}, row_hash long, anchor long, whole long, first long, number long, at long"
     )
 
 
@@ -299,7 +302,10 @@ def repeats(
     """doc_id, row_hash, start, end: byte intervals covered by repeated windows (they may overlap)."""
     rows = documents.select("doc_id", row_hash(documents).alias("row_hash"), "text")
     runs = stored(hashed_runs(rows, length, gram), "runs")
-    own = ["anchor", "h1", "h2"]
+    # most anchors stand once in the corpus: what goes on is the rest
+    named = splittable_groups(runs, "anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    runs = stored(runs.join(named, "anchor"), "shared-runs")
+    own = ["anchor", "whole"]
     classes = stored(
         runs.groupBy(*own).agg(
             F.count(F.lit(1)).alias("copies"),
