@@ -100,11 +100,19 @@ def test_crowded_chunks_are_dealt_out_without_changing_the_result(events, versio
     assert timeline.hot_groups(counts, ["k", "_chunk"], hot_rows).filter("_shares > 1").count() > 0
 
 
-def test_only_the_largest_groups_are_fetched(rows, monkeypatch):
-    monkeypatch.setattr(timeline, "MAX_HOT", 2)
-    counts = rows([(f"k{i}", 10) for i in range(10)] + [("big", 100), ("mid", 50)], "k string, _rows long")
-    assert values(timeline.hot_groups(counts, ["k"], hot_rows=1)) == [("big", 100), ("mid", 50)]
-    assert timeline.hot_groups(counts, ["k"], hot_rows=100) is None
+def test_hot_groups_have_no_upper_number(spark):
+    counts = spark.range(6000).selectExpr("concat('k', id) AS k", "id + 10 AS _rows")
+    assert timeline.hot_groups(counts, ["k"], hot_rows=1).count() == 6000
+    assert timeline.hot_groups(counts, ["k"], hot_rows=10_000) is None
+
+
+def test_one_key_on_one_day_is_cut(spark):
+    day = spark.range(2000).selectExpr("'k' AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 40) AS ts", "id AS v")
+    hot = timeline.hot_groups(timeline._count(day, ["k"]), ["k"], 100)
+    assert timeline._with_chunk(day, ["k"], "ts", hot, timeline.DAY).select("_chunk").distinct().count() >= 10
+    cut = timeline.with_neighbour(day, ["k"], ["ts"], ["v"], "after", following=True, hot_rows=100)
+    plain = timeline.with_neighbour(day, ["k"], ["ts"], ["v"], "after", following=True, hot_rows=10**6)
+    assert values(cut) == values(plain)
 
 
 def test_leakage_audit_equals_joins(events, versions):

@@ -76,11 +76,11 @@ def apply_changes_scd2(
 
     Changes are ordered by ``seq`` (several at one ``seq``: the greatest row
     wins).  A change that repeats the tracked values of its predecessor opens no
-    version; a delete closes the version before it.
+    version; a delete closes the version before it.  Changes without a key are left out.
     """
     gone = F.col(op).eqNullSafe(F.lit(delete))
     changes = (
-        latest_per_key(log.select(key, seq, op, *tracked), [key, seq], [])
+        latest_per_key(log.select(key, seq, op, *tracked).dropna(subset=[key]), [key, seq], [])
         .withColumn("_gone", gone)
         .drop(op)
     )

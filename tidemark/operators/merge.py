@@ -46,11 +46,12 @@ def conditional_update(
 ) -> DataFrame:
     """Update matched target rows where ``condition`` holds.
 
-    Both sides are visible to the expressions as ``t.`` and ``s.``; the source
-    has one row per key.
+    Both sides are visible to the expressions as ``t.`` and ``s.``.  Of source rows
+    that share a key the greatest counts, so target rows never multiply.
     """
+    once = latest_per_key(source.dropna(subset=[key]), [key], [])
     joined = target.alias("t").join(
-        source.withColumn("_matched", F.lit(True)).alias("s"),
+        once.withColumn("_matched", F.lit(True)).alias("s"),
         F.col(f"t.{key}") == F.col(f"s.{key}"),
         "left",
     )
@@ -96,9 +97,9 @@ def cdc_apply(
 ) -> DataFrame:
     """Apply a change log: the newest change per key wins, a delete removes the key.
 
-    Without a target the log is a full first load.
+    Without a target the log is a full first load.  Changes without a key are left out.
     """
-    newest = latest_per_key(log, [key], [seq])
+    newest = latest_per_key(log.dropna(subset=[key]), [key], [seq])
     alive = newest.filter(~F.col(op).eqNullSafe(F.lit(delete))).drop(op, seq)
     if target is None:
         return alive

@@ -16,31 +16,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.enrich import broadcast_if_small
+from tidemark.session import stored
+
 DAY = 86_400
 HOT_ROWS = 1_000_000
-MAX_HOT = 4096
-MAX_SHARES = 4096
 
 
-def chunk_of(ts: str | Column, seconds: int = DAY) -> Column:
+def chunk_of(ts: str | Column, seconds: int | Column = DAY) -> Column:
     """Number of the time chunk that holds a date or timestamp."""
     column = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_timestamp(column.cast("timestamp")) / F.lit(seconds)).cast("long")
+    return F.floor(F.unix_timestamp(column.cast("timestamp")) / (F.lit(seconds) if isinstance(seconds, int) else seconds)).cast("long")
 
 
 def hot_groups(counts: DataFrame, group: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Groups of a ``group..., _rows`` frame with more than ``hot_rows`` rows, or None.
 
-    At most the ``MAX_HOT`` largest are fetched.  Any group beyond them holds
-    under 1/``MAX_HOT`` of all rows and is no larger than a normal partition.
-    ``_shares`` says into how many parts of that size a group would fall.
+    ``_shares`` says into how many parts of that size a group would fall.  The groups
+    stay a (stored) table, however many there are; it is broadcast only when
+    measured small.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    found = counts.filter(F.col("_rows") > limit).orderBy(F.desc("_rows")).limit(MAX_HOT).collect()
-    if not found:
-        return None
-    shares = F.least(F.ceil(F.col("_rows") / F.lit(max(limit, 1))), F.lit(MAX_SHARES)).cast("int")
-    return counts.sparkSession.createDataFrame(found, counts.schema).select(*group, shares.alias("_shares"))
+    shares = F.ceil(F.col("_rows") / F.lit(max(limit, 1))).cast("int")
+    found = stored(counts.filter(F.col("_rows") > limit).select(*group, shares.alias("_shares")), "hot-groups")
+    return None if found.isEmpty() else broadcast_if_small(found)
 
 
 def with_neighbour(
@@ -159,10 +158,10 @@ def _cut(
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
     share = F.pmod(F.xxhash64(*columns), F.col("_shares")).cast("int")
     return (
-        fact_rows.join(F.broadcast(shares), group, "left")
+        fact_rows.join(shares, group, "left")
         .withColumn("_share", F.coalesce(share, F.lit(0)))
         .drop("_shares"),
-        known.join(F.broadcast(shares), group, "left").withColumn("_share", copies).drop("_shares"),
+        known.join(shares, group, "left").withColumn("_share", copies).drop("_shares"),
     )
 
 
@@ -173,12 +172,17 @@ def _count(df: DataFrame, group: Sequence[str]) -> DataFrame:
 def _with_chunk(
     df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame, seconds: int
 ) -> DataFrame:
-    """Add ``_chunk``: the time chunk for rows of a hot key, NULL for all others."""
-    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    """Add ``_chunk``: the time chunk for rows of a hot key, NULL for all others.
+
+    Chunks get narrower as a key gets hotter (down to a second), so a key whose
+    changes all fall on one day is cut as well.
+    """
+    width = F.greatest(F.floor(F.lit(seconds) / F.col("_shares")), F.lit(1))
+    marks = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], width.alias("_width"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
     return (
-        df.join(F.broadcast(marks), same, "left")
-        .withColumn("_chunk", F.when(F.col("_hot"), chunk_of(ts, seconds)))
+        df.join(marks, same, "left")
+        .withColumn("_chunk", F.when(F.col("_width").isNotNull(), chunk_of(ts, F.col("_width"))))
         .select(*df.columns, "_chunk")
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import total
@@ -175,19 +178,38 @@ def fk_semi_join(d: Domain):
        FROM orders_raw WHERE customer_id NOT IN (SELECT customer_id FROM customers) GROUP BY 2
        UNION ALL
        SELECT 'returns.order_id', order_id, count(*)
-       FROM returns_raw WHERE order_id NOT IN (SELECT order_id FROM fct_orders) GROUP BY 2""",
+       FROM returns_raw WHERE order_id NOT IN (SELECT order_id FROM fct_orders) GROUP BY 2
+       UNION ALL
+       SELECT 'orders.product_id', product_id, count(*)
+       FROM orders_raw WHERE product_id NOT IN (SELECT product_id FROM products) GROUP BY 2
+       UNION ALL
+       SELECT 'returns.customer_id', customer_id, count(*)
+       FROM returns_raw WHERE customer_id NOT IN (SELECT customer_id FROM customers) GROUP BY 2
+       UNION ALL
+       SELECT 'returns.product_id', product_id, count(*)
+       FROM returns_raw WHERE product_id NOT IN (SELECT product_id FROM products) GROUP BY 2
+       UNION ALL
+       SELECT 'customers.region', region, count(*)
+       FROM customers WHERE region NOT IN (SELECT region_code FROM regions) GROUP BY 2""",
 )
 def fk_orphans(d: Domain):
-    """Child keys without parent, for two of the foreign keys."""
-    customers = keys.fk_orphans(d.orders_raw, d.customers, "customer_id")
-    orders = keys.fk_orphans(d.returns_raw, d.fct_orders, "order_id")
-    return customers.select(
-        F.lit("orders.customer_id").alias("foreign_key"), F.col("customer_id").alias("key_value"), "row_count"
-    ).unionByName(
-        orders.select(
-            F.lit("returns.order_id").alias("foreign_key"), F.col("order_id").alias("key_value"), "row_count"
+    """Child keys without parent, for every foreign key of the facts (the region through the customer)."""
+    regions = d.regions.select(F.col("region_code").alias("region"))
+    checks = [
+        ("orders.customer_id", d.orders_raw, d.customer_keys, "customer_id"),
+        ("returns.order_id", d.returns_raw, d.fct_orders, "order_id"),
+        ("orders.product_id", d.orders_raw, d.products, "product_id"),
+        ("returns.customer_id", d.returns_raw, d.customer_keys, "customer_id"),
+        ("returns.product_id", d.returns_raw, d.products, "product_id"),
+        ("customers.region", d.customers, regions, "region"),
+    ]
+    reports = [
+        keys.fk_orphans(child, parent, key).select(
+            F.lit(name).alias("foreign_key"), F.col(key).alias("key_value"), "row_count"
         )
-    )
+        for name, child, parent, key in checks
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 @query(

@@ -102,16 +102,17 @@ def restore_version(d: Domain):
 
 @query(
     "compact_files",
-    """SELECT count(*) AS row_count, CAST(sum(line_total) AS DECIMAL(28,2)) AS revenue, 4 AS files
+    """SELECT count(*) AS row_count, CAST(sum(line_total) AS DECIMAL(28,2)) AS revenue, true AS fewer_files
        FROM fct_orders""",
 )
 def compact_files(d: Domain):
-    """Many small files rewritten as four; the report counts them."""
+    """Many small files rewritten as few, their number taken from the bytes they hold."""
     small, large = d.scratch("orders_small_files"), d.scratch("orders_compacted")
     d.fct_orders.repartition(64).write.parquet(small)
-    table = layout.compact_files(d.spark, small, large, files=4)
-    report = layout.file_report(table).agg(
-        F.sum("row_count").alias("row_count"), F.count(F.lit(1)).cast("int").alias("files")
+    table = layout.compact_files(d.spark, small, large)
+    files = layout.file_report(d.spark.read.parquet(small)).agg(F.count(F.lit(1)).alias("n")).scalar()
+    report = layout.file_report(table).agg(F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("_files")).select(
+        "row_count", (F.col("_files") < files).alias("fewer_files")
     )
     revenue = table.agg(F.sum("line_total").cast("decimal(28,2)").alias("revenue")).scalar()
     return report.withColumn("revenue", revenue)
@@ -124,5 +125,5 @@ def zorder_layout(d: Domain):
         d.fct_orders.select("order_id", "customer_id", "order_ts", "line_total"), d.scratch("orders_plain")
     )
     return tables.overwrite_table(
-        layout.zorder(source, ["customer_id", "order_ts"], files=8), d.scratch("orders_zorder")
+        layout.zorder(source, ["customer_id", "order_ts"], files=layout.files_for(source)), d.scratch("orders_zorder")
     )

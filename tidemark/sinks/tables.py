@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+BUCKETS = "_buckets"
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
@@ -64,25 +65,36 @@ def create_or_merge(
     Rows live in hash buckets of the key.  Only buckets that the source touches
     are read and rewritten (staged, then swapped in), so a small load costs its
     buckets and not the table.  ``merge`` must give the same result when it is
-    repeated, as the upserts of this package do for a fixed ``as_of``.
+    repeated, as the upserts of this package do for a fixed ``as_of``.  A bucket that a merge
+    empties keeps one row without a key, so that it is rewritten too; such rows are never read.
+    The number of buckets is part of the table, another one is refused.
     """
     spark = source.sparkSession
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     table = read_if_exists(spark, path)
+    emptied = None
     if table is None:
         state = merge(None, source)
     else:
+        stored_buckets = table.filter(F.col(BUCKETS).isNotNull()).select(BUCKETS).first()
+        if stored_buckets is not None and stored_buckets[0] != buckets:
+            raise ValueError(f"the table has {stored_buckets[0]} buckets, not {buckets}")
         touched = [row[0] for row in source.select(bucket).distinct().collect()]  # at most ``buckets``
-        state = merge(table.filter(F.col(BUCKET).isin(touched)).drop(BUCKET), source)
+        before = table.filter(F.col(BUCKET).isin(touched) & F.col(key).isNotNull()).drop(BUCKET, BUCKETS)
+        state = merge(before, source)
+        emptied = spark.createDataFrame([(n,) for n in touched], f"{BUCKET} int")
+    placed = state.withColumn(BUCKET, bucket)
+    if emptied is not None:
+        placed = placed.unionByName(emptied, allowMissingColumns=True)
     (
-        state.withColumn(BUCKET, bucket)
+        placed.withColumn(BUCKETS, F.lit(buckets))
         .hint("rebalance", F.col(BUCKET))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(path)
     )
-    return spark.read.parquet(path).drop(BUCKET)
+    return spark.read.parquet(path).filter(F.col(key).isNotNull()).drop(BUCKET, BUCKETS)
 
 
 def write_partitioned(df: DataFrame, path: str, ts: str, column: str = "_partition_date") -> DataFrame:
@@ -110,8 +122,8 @@ def write_quarantine(bad: DataFrame, path: str) -> bool:
     return True
 
 
-def export_csv(df: DataFrame, path: str, files: int | None = 1) -> None:
-    """CSV with header; one file by default, ``files=None`` keeps the parallelism."""
+def export_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """CSV with header, a file per task; ``files=1`` asks for a single one (of a small table)."""
     out = df if files is None else df.coalesce(files)
     out.write.mode("overwrite").option("header", True).csv(path)
 

@@ -66,10 +66,13 @@ def csv_increments(spark: SparkSession, path: str, schema: str, files_per_batch:
 
 
 def parquet_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of a parquet table; ``path`` names one file or a folder of files."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch).schema(schema).parquet(f"{path}*")
-    )
+    """Stream of a parquet table; ``path`` names one file or a folder of files.
+
+    A stream takes a single file only by a pattern; this one matches nothing but ``path``.
+    """
+    path = path.rstrip("/")
+    exact = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).schema(schema).parquet(exact)
 
 
 def load_regions(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -89,7 +92,13 @@ def load_regions(spark: SparkSession, path: str | None = None) -> DataFrame:
     return broadcast_if_small(rows)
 
 
-def load_categories(spark: SparkSession, path: str) -> DataFrame:
-    """Category reference rows with a boolean ``is_seasonal``, marked for broadcast when small."""
+def load_categories(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Category reference rows with a boolean ``is_seasonal``, marked for broadcast when small.
+
+    Without a path: no categories are known yet, an empty table of the same columns.
+    """
+    if path is None:
+        rows = spark.createDataFrame([], schemas.CATEGORIES)
+        return rows.withColumn("is_seasonal", F.col("is_seasonal").try_cast("boolean"))
     rows = spark.read.option("header", True).schema(schemas.CATEGORIES).csv(path)
     return broadcast_if_small(rows.withColumn("is_seasonal", F.col("is_seasonal").try_cast("boolean")))

@@ -40,7 +40,8 @@ class TotalsTable:
     Batch ``n`` is made from the newest state before ``n`` and goes to folder
     ``n mod SLOTS``: a batch repeated after a failure starts from the same state
     and overwrites its own folder, so every row counts once, and the number of
-    folders does not grow.
+    folders does not grow.  A batch below the newest state (a new checkpoint on old
+    totals) is refused: it would be counted in nobody's totals.
     """
 
     SLOTS = 8
@@ -50,6 +51,9 @@ class TotalsTable:
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*self.keys, *self.sums)
+        newest = self._last_batch(batch.sparkSession)
+        if newest is not None and newest > batch_id:
+            raise ValueError(f"batch {batch_id} after batch {newest}: the checkpoint is not that of these totals")
         before = self._newest(batch.sparkSession, below=batch_id)
         if before is not None:
             rows = rows.unionByName(before)
@@ -64,6 +68,10 @@ class TotalsTable:
         """The newest state, or None before the first batch."""
         return self._newest(spark)
 
+    def _last_batch(self, spark: SparkSession) -> int | None:
+        states = read_if_exists(spark, self.path)
+        return None if states is None else states.agg(F.max("_batch")).first()[0]
+
     def _newest(self, spark: SparkSession, below: int | None = None) -> DataFrame | None:
         states = read_if_exists(spark, self.path)
         if states is None:
