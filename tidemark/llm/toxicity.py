@@ -41,7 +41,7 @@ from tidemark.llm.words import hashes, lookup, pieces, row_sums, split
 from tidemark.session import stored
 
 TRAIN_DOCS = 8_000
-ENTRIES = 1 << 19
+ENTRIES = 1 << 17
 WINDOW = 32
 STRONG = 4.0
 LIFT = 1000.0
