@@ -40,8 +40,8 @@ from tidemark.llm.words import pieces, row_sums, split
 from tidemark.session import stored
 
 END = ""  # no word is empty
-COMMON = 96
-ENDINGS = 32
+COMMON = 64
+ENDINGS = 24
 CLASSES = COMMON + ENDINGS
 START = CLASSES  # context class before the first word
 HOT = 1 << 17
