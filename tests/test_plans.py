@@ -110,3 +110,29 @@ def test_no_query_has_a_cartesian_product(spark):
     for name in ("revenue_daily", "customer_metrics", "product_trend_7d", "point_in_time_join", "fct_returns"):
         text = plan(QUERIES[name](spark, SF_DIR))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_facts_are_read_from_stored_layers(spark):
+    from tidemark.plans import QUERIES
+
+    for name in ("revenue_daily", "customer_metrics", "load_summary", "fk_orphans", "incremental_revenue", "append_dedup"):
+        assert "lineitem.parquet" not in plan(QUERIES[name](spark, SF_DIR)), name
+
+
+def test_date_windows_read_their_months_only(spark):
+    from tidemark.plans import QUERIES
+
+    for name in ("product_trend_7d", "last_week_revenue", "trending_products"):
+        text = plan(QUERIES[name](spark, SF_DIR))
+        assert "PartitionFilters: [isnotnull(order_month" in text, name
+
+
+def test_layers_follow_their_files(spark, tmp_path):
+    import shutil
+
+    for name in ("lineitem", "orders", "customer", "part", "nation", "region"):
+        shutil.copy(f"{SF_DIR}/{name}.parquet", tmp_path)
+    before = Domain(spark, str(tmp_path)).fct_orders.count()
+    (tmp_path / "lineitem.parquet").unlink()
+    spark.read.parquet(f"{SF_DIR}/lineitem.parquet").filter("l_linenumber = 1").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert 0 < Domain(spark, str(tmp_path)).fct_orders.count() < before

@@ -125,7 +125,7 @@ def product_performance(orders: DataFrame, returns: DataFrame, products: DataFra
 def product_trend_7d(orders: DataFrame, products: DataFrame, as_of: object) -> DataFrame:
     """Sales of the last 7 days against the 7 days before; score 0 without prior sales.
 
-    Only 14 days of facts are read: the bound is a filter below the aggregate.
+    The bound of 14 days is a filter below the aggregate; facts partitioned by date skip the rest.
     """
     this_week = _window(as_of, 7)
     last_week = _window(as_of, 14, 7)

@@ -22,7 +22,7 @@ def metrics(d: Domain):
 
 def trend(d: Domain):
     products = d.products.select("product_id", "product_name", "category", "brand", "unit_price")
-    return gold.product_trend_7d(d.fct_orders, products, d.as_of)
+    return gold.product_trend_7d(d.recent_orders(14), products, d.as_of)
 
 
 @query("revenue_daily", "SELECT * FROM daily_revenue ORDER BY order_date")
@@ -127,7 +127,7 @@ def daily_region_revenue(d: Domain):
        GROUP BY 1, 2""",
 )
 def last_week_revenue(d: Domain):
-    return gold.revenue_last_days(d.placed_orders, d.as_of, "region", "product_category")
+    return gold.revenue_last_days(d.placed(d.recent_orders(7)), d.as_of, "region", "product_category")
 
 
 @query(

@@ -114,8 +114,8 @@ def composite_key_join(d: Domain):
 
 
 def order_facts(d: Domain):
-    """The stored fact table that the temporal joins read."""
-    return d.stored(d.fct_orders.select("order_id", "customer_id", "order_ts", "line_total"), "fct_orders")
+    """What the temporal joins read of the facts."""
+    return d.fct_orders.select("order_id", "customer_id", "order_ts", "line_total")
 
 
 @query(
