@@ -107,6 +107,28 @@ def test_totals_count_each_batch_once(spark, rows, tmp_path):
     assert values(totals.read(spark)) == [("mon", Decimal(3), 2), ("tue", Decimal(4), 1), ("wed", Decimal(9), 9)]
 
 
+def test_totals_rewrite_touched_days_only(spark, rows, tmp_path):
+    path = tmp_path / "totals"
+    totals = sinks.TotalsTable(str(path), ["day"], ["revenue", "lines"])
+    schema = "day string, revenue decimal(28,2), lines long"
+    totals.upsert(rows([("mon", Decimal(1), 1), (None, Decimal(2), 1), ("", Decimal(4), 1), ("null", Decimal(8), 1)], schema), 0)
+    before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    totals.upsert(rows([("tue", Decimal(1), 1), (None, Decimal(16), 1)], schema), 1)
+    after = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+    assert before.items() <= after.items() and len(after) == len(before) + 2  # tue, and the other slot of null
+    found = {r["day"]: int(r["revenue"]) for r in totals.read(spark).collect()}
+    assert found == {"mon": 1, "tue": 1, None: 18, "": 4, "null": 8}
+
+
+def test_totals_after_a_batch_that_got_through_in_part(spark, rows, tmp_path):
+    schema = "day string, revenue decimal(28,2), lines long"
+    totals = sinks.TotalsTable(str(tmp_path / "totals"), ["day"], ["revenue", "lines"])
+    totals.upsert(rows([("mon", Decimal(1), 1), ("tue", Decimal(1), 1)], schema), 0)
+    totals.upsert(rows([("mon", Decimal(2), 1)], schema), 1)  # tuesday's part of the batch was lost
+    totals.upsert(rows([("mon", Decimal(2), 1), ("tue", Decimal(3), 1)], schema), 1)
+    assert values(totals.read(spark)) == [("mon", Decimal(3), 2), ("tue", Decimal(4), 2)]
+
+
 def test_stream_upsert_over_several_batches(spark, rows, tmp_path):
     path, schema = str(tmp_path / "in"), "day string, revenue decimal(28,2), lines long"
     for amount in (1, 2, 3):

@@ -35,53 +35,52 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 
 class TotalsTable:
-    """Running totals, rewritten by every micro-batch into the next of a few folders.
-
-    Batch ``n`` is made from the newest state before ``n`` and goes to folder
-    ``n mod SLOTS``: a batch repeated after a failure starts from the same state
-    and overwrites its own folder, so every row counts once, and the number of
-    folders does not grow.  A batch below the newest state (a new checkpoint on old
-    totals) is refused: it would be counted in nobody's totals.
+    """Running totals in one folder per value of the first key; a micro-batch rewrites only those it touches.
+
+    Each such part has two slots.  Batch ``n`` adds to the part's newest state before
+    ``n`` and writes the other slot: a batch repeated after a failure, even one that
+    got through for some parts only, starts from the same states and overwrites its
+    own slots, so every row counts once, and the number of folders does not grow with
+    the batches.  A batch below the newest state (a new checkpoint on old totals) is
+    refused: it would be counted in nobody's totals.
     """
 
-    SLOTS = 8
-
     def __init__(self, path: str, keys: Sequence[str], sums: Sequence[str]):
         self.path, self.keys, self.sums = path, list(keys), list(sums)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*self.keys, *self.sums)
-        newest = self._last_batch(batch.sparkSession)
+        states = read_if_exists(batch.sparkSession, self.path)
+        newest = None if states is None else states.agg(F.max("_batch")).first()[0]
         if newest is not None and newest > batch_id:
             raise ValueError(f"batch {batch_id} after batch {newest}: the checkpoint is not that of these totals")
-        before = self._newest(batch.sparkSession, below=batch_id)
-        if before is not None:
-            rows = rows.unionByName(before)
-        kinds = dict(batch.dtypes)
-        sums = [
-            F.sum(c).cast(TOTAL if kinds[c].startswith("decimal") else kinds[c]).alias(c) for c in self.sums
-        ]
-        totals = rows.groupBy(*self.keys).agg(*sums).withColumn("_batch", F.lit(batch_id).cast("long"))
-        totals.write.mode("overwrite").parquet(f"{self.path}/slot={batch_id % self.SLOTS}")
+        part = F.coalesce(F.concat(F.lit("v"), F.col(self.keys[0]).cast("string")), F.lit("null"))
+        sums = [F.sum(c).cast(TOTAL if kind.startswith("decimal") else kind).alias(c)
+                for c, kind in batch.dtypes if c in self.sums]
+        totals = batch.groupBy(*self.keys).agg(*sums).withColumn("_part", part)
+        slot = F.lit(0)
+        if states is not None:
+            known = states.filter(F.col("_batch") < batch_id).join(totals.select("_part").distinct(), "_part", "left_semi")
+            last = self._last(known)
+            before = self._current(known, last).select(*totals.columns)
+            totals = totals.unionByName(before).groupBy("_part", *self.keys).agg(*sums).join(last, "_part", "left")
+            slot = F.coalesce(1 - F.col("_last._slot"), slot)
+        totals = totals.select("_part", *self.keys, *self.sums, F.lit(batch_id).cast("long").alias("_batch"), slot.alias("_slot"))
+        writer = totals.hint("rebalance", "_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("_part", "_slot").parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        """The newest state, or None before the first batch."""
-        return self._newest(spark)
-
-    def _last_batch(self, spark: SparkSession) -> int | None:
+        """The newest state of every part, or None before the first batch."""
         states = read_if_exists(spark, self.path)
-        return None if states is None else states.agg(F.max("_batch")).first()[0]
+        return None if states is None else self._current(states, self._last(states)).select(*self.keys, *self.sums)
 
-    def _newest(self, spark: SparkSession, below: int | None = None) -> DataFrame | None:
-        states = read_if_exists(spark, self.path)
-        if states is None:
-            return None
-        known = states if below is None else states.filter(F.col("_batch") < below)
-        newest = known.agg(F.max("_batch")).first()[0]
-        if newest is None:
-            return None
-        slot = spark.read.parquet(f"{self.path}/slot={newest % self.SLOTS}")
-        return slot.select(*self.keys, *self.sums)
+    @staticmethod
+    def _last(states: DataFrame) -> DataFrame:
+        """_part, _last (batch and slot of its newest state)."""
+        return states.groupBy("_part").agg(F.max(F.struct("_batch", "_slot")).alias("_last"))
+
+    @staticmethod
+    def _current(states: DataFrame, last: DataFrame) -> DataFrame:
+        return states.join(last, "_part").filter(F.col("_slot") == F.col("_last._slot"))
 
 
 def upsert_stream(
