@@ -1,10 +1,13 @@
 """Corpus operators against brute force, exact round trips and held-out accuracy on small inputs."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -331,6 +334,29 @@ def test_secrets_under_nested_layers():
     assert secrets.spans(quine + " " + quine)[1] == []
 
 
+def test_secrets_in_compressed_layers_to_a_fixpoint():
+    secret = b"password=hunter2hunter2"
+    half = len(secret) // 2
+    noise = random.Random(5).randbytes(30_000)
+    run = base64.b64encode(base64.b64encode(noise) + b" " + secret)
+    for data in (
+        gzip.compress(gzip.compress(secret)),
+        zlib.compress(bz2.compress(lzma.compress(secret))),
+        gzip.compress(b"first ") + gzip.compress(secret),
+        gzip.compress(secret[:half]) + gzip.compress(secret[half:]),
+        bz2.compress(b"first ") + bz2.compress(secret),
+        lzma.compress(b"first ") + bytes(4) + lzma.compress(secret),
+        gzip.compress(b"") + bz2.compress(secret),
+        zlib.compress(b"first ") + b"\xff\n" + secret,
+        # an encoded run over the end of the first chunk
+        gzip.compress(b"line of text\n" * ((1 << 20) // 13 - 1_000) + run + b"\n"),
+        gzip.compress(gzip.compress(noise * 50 + b"\n" + secret)),
+    ):
+        text = "before " + base64.b64encode(data).decode() + " after"
+        assert (7, 0, len(text) - 6) in secrets.spans(text)[1], data[:10]
+        assert secrets.masked(text) == f"before {secrets.MASK} after"
+
+
 def test_plain_secrets_by_definition():
     rule = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
     source = random.Random(2)

@@ -8,7 +8,10 @@ out joins the worklist unless the document has had the same layer before, so loo
 one.  Every character of a layer knows the span of the document it comes from;
 what is found deep down is reported where its encoding stands in the document.
 
-Compressed layers are read in chunks that overlap, so memory stays bounded.
+Compressed bytes are inflated until nothing is compressed any more, all their streams and
+what follows them.  Layers are read in chunks cut between secrets and encoded runs, so
+memory is bounded by a chunk and the longest such run; compressed bytes inside compressed
+bytes wait in a temporary file if they are larger than a chunk.
 
 Defined results: null text is empty text and holds nothing; repeated rows come out
 repeated; spans found in several layers count once; other columns are ignored by
@@ -20,11 +23,17 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
+import io
+import itertools
 import lzma
 import re
+import string
+import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +50,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-CHUNK, OVERLAP = 1 << 20, 1 << 12
+CHUNK = 1 << 20
+# the characters of secrets, escapes and base64 runs
+UNCUT = string.ascii_letters + string.digits + "+/_.=-%\\:\"' "
+OPENERS = {
+    "gzip": lambda: zlib.decompressobj(31), "zlib": zlib.decompressobj,
+    "bzip2": bz2.BZ2Decompressor, "xz": lzma.LZMADecompressor,
+}
 MASK = "[REDACTED]"
 
 
@@ -100,34 +115,96 @@ def _unescaped(layer: Layer) -> Layer | None:
     return Layer("".join(pieces_), np.concatenate(starts), np.concatenate(ends))
 
 
-def _inflated(data: bytes) -> Iterator[bytes] | None:
-    """Chunks of what compressed bytes hold; None if they are not compressed."""
-    if data[:2] == b"\x1f\x8b":
-        opened, limit = zlib.decompressobj(31), True
-    elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        opened, limit = zlib.decompressobj(), True
-    elif data[:3] == b"BZh":
-        opened, limit = bz2.BZ2Decompressor(), False
-    elif data[:6] == b"\xfd7zXZ\x00":
-        opened, limit = lzma.LZMADecompressor(), False
-    else:
-        return None
-
-    def chunks():
-        rest, tail = data, b""
+def _packed(head: bytes) -> str | None:
+    """How bytes that start like this are compressed; None if they are not."""
+    if head[:2] == b"\x1f\x8b":
+        return "gzip"
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return "zlib"
+    if head[:3] == b"BZh":
+        return "bzip2"
+    return "xz" if head[:6] == b"\xfd7zXZ\x00" else None
+
+
+def _next_kind(source: BinaryIO) -> str | None:
+    """How the stream at the source's place is compressed, any zero padding before it skipped."""
+    at = source.tell()
+    head = source.read(6)
+    while head[:1] == b"\0":
+        block = head + source.read(CHUNK)
+        at += len(block) - len(block.lstrip(b"\0"))
+        source.seek(at)
+        head = source.read(6)
+    source.seek(at)
+    return _packed(head)
+
+
+def _inflated(source: BinaryIO, kind: str) -> Iterator[bytes]:
+    """What the streams of a kind at the source's place hold, as one content; the source ends up after them."""
+    while _next_kind(source) == kind:
+        opened = OPENERS[kind]()
+        rest = b""
         try:
-            while True:
+            while not opened.eof:
+                if not rest and getattr(opened, "needs_input", True):
+                    rest = source.read(CHUNK)
                 out = opened.decompress(rest, CHUNK)
-                rest = opened.unconsumed_tail if limit else b""
                 if out:
-                    yield tail + out
-                    tail = (tail + out)[-OVERLAP:]
-                if opened.eof or not out:
+                    yield out
+                elif not rest:  # cut short
                     return
+                rest = getattr(opened, "unconsumed_tail", b"")
         except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            source.seek(0, io.SEEK_END)
             return
+        source.seek(-len(opened.unused_data), io.SEEK_CUR)
+
 
-    return chunks()
+def _texts(chunks: Iterable[bytes]) -> Iterator[str]:
+    """The text of chunks of bytes, cut only where no secret and no encoded run is split."""
+    decoder, held = codecs.getincrementaldecoder("utf-8")("ignore"), []
+    for chunk in chunks:
+        text = decoder.decode(chunk)
+        cut = len(text.rstrip(UNCUT))
+        if cut:
+            yield "".join([*held, text[:cut]])
+            held = []
+        held.append(text[cut:])
+    yield "".join(held)
+
+
+def _unpacked(data: bytes) -> Iterator[str]:
+    """The texts in compressed bytes, unwrapped until nothing is compressed, and what follows the streams."""
+    seen, work = {hashlib.sha1(data).digest()}, [io.BytesIO(data)]
+    while work:
+        with work.pop() as source:
+            while (kind := _next_kind(source)) is not None:
+                at = source.tell()
+                chunks = _inflated(source, kind)
+                first = next(chunks, b"")
+                if not first and not source.read(1):  # only looked compressed
+                    source.seek(at)
+                    break
+                if not first:
+                    source.seek(-1, io.SEEK_CUR)
+                    continue
+                # some decompressors give the first bytes in bits
+                while len(first) < 6 and (more := next(chunks, b"")):
+                    first += more
+                if _packed(first) is None:
+                    yield from _texts(itertools.chain([first], chunks))
+                    continue
+                inner, mark = tempfile.SpooledTemporaryFile(max_size=CHUNK), hashlib.sha1()
+                for chunk in itertools.chain([first], chunks):
+                    inner.write(chunk)
+                    mark.update(chunk)
+                if mark.digest() in seen:
+                    inner.close()
+                    continue
+                seen.add(mark.digest())
+                inner.seek(0)
+                work.append(inner)
+            yield from _texts(iter(lambda: source.read(CHUNK), b""))
 
 
 def _readable(data: bytes) -> str | None:
@@ -148,14 +225,10 @@ def _decoded(layer: Layer) -> Iterator[Layer]:
         except binascii.Error:
             continue
         start, end = layer.part(m.start(), m.end())
-        chunks = _inflated(data)
-        if chunks is not None:
-            for chunk in chunks:
-                text = chunk.decode("utf-8", "ignore")
-                yield Layer(text, np.full(len(text), start), np.full(len(text), end))
-            continue
         text = _readable(data)
         if text is None:
+            for text in _unpacked(data) if _packed(data[:6]) else ():
+                yield Layer(text, np.full(len(text), start), np.full(len(text), end))
             continue
         # byte i of the data comes from characters 4 * (i // 3) + (i % 3) and the next one
         size = np.array([len(c.encode("utf-8")) for c in text])
