@@ -16,7 +16,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group linked by fingerprints of four-word shingles at 4 or fewer bits: the smallest id."""
     return simhash.one_per_group(docs)
 
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import hashes, pieces, row_hash, split
+from tidemark.llm.words import fresh, hashes, pieces, row_hash, split
 from tidemark.session import stored
 
 WINDOW = 10
@@ -279,9 +279,10 @@ def report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark window, all columns kept."""
+    own, bad_id, bad_hash = (fresh(documents, name) for name in ("row_hash", "bad_id", "bad_hash"))
     bad = contamination(documents, benchmark).filter("n_hit > 0").select(
-        F.col("doc_id").alias("_bad_id"), F.col("row_hash").alias("_bad_hash")
+        F.col("doc_id").alias(bad_id), F.col("row_hash").alias(bad_hash)
     ).distinct()
-    rows = documents.withColumn("_row_hash", row_hash(documents))
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.col("_row_hash") == F.col("_bad_hash"))
-    return rows.join(bad, same, "left_anti").drop("_row_hash")
+    rows = documents.withColumn(own, row_hash(documents))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.col(own) == F.col(bad_hash))
+    return rows.join(bad, same, "left_anti").drop(own)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import row_hash
+from tidemark.llm.words import fresh, row_hash
 from tidemark.session import stored
 
 WEIGHTS = (5, 2, 1)
@@ -182,11 +182,12 @@ def mix(documents: DataFrame, **rules) -> DataFrame:
 
 def mixed(documents: DataFrame, **rules) -> DataFrame:
     """The documents repeated by their copies, all columns kept."""
+    own, unit_id, unit_hash, total, copy = (fresh(documents, n) for n in ("row_hash", "unit_id", "unit_hash", "total", "copy"))
     unit = rounded(documents, **rules).filter("total > 0").select(
-        F.col("doc_id").alias("_doc_id"), F.col("row_hash").alias("_unit_hash"), F.col("total").alias("_total")
+        F.col("doc_id").alias(unit_id), F.col("row_hash").alias(unit_hash), F.col("total").alias(total)
     )
-    rows = documents.withColumn("_row_hash", row_hash(documents))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_row_hash") == F.col("_unit_hash"))
+    rows = documents.withColumn(own, row_hash(documents))
+    same = F.col("doc_id").eqNullSafe(F.col(unit_id)) & (F.col(own) == F.col(unit_hash))
     # rows that agree in all columns are one unit: keep one and repeat it for all
-    once = rows.join(unit, same).dropDuplicates(["doc_id", "_row_hash"])
-    return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_total")))).select(*documents.columns)
+    once = rows.join(unit, same).dropDuplicates(["doc_id", own])
+    return once.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(total)))).select(*documents.columns)

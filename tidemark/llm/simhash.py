@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.words import row_hash
+from tidemark.llm.words import fresh, row_hash
 from tidemark.session import stored
 
 SEED = 42
@@ -109,29 +109,30 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id, row_hash, fingerprint (16 hex digits), component_id of every document."""
+    """doc_id, row_hash, fingerprint (16 hex digits), root (a fingerprint of its group), component_id of every document."""
     prints = stored(fingerprints(documents, shingle), "fingerprints")
     groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
     roots = components(links(groups.select("fp"))).withColumnRenamed("node", "fp")
     rooted = groups.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = stored(rooted.join(lowest, "root").select("fp", "component_id"), "fingerprint-components")
+    named = stored(rooted.join(lowest, "root").select("fp", "root", "component_id"), "fingerprint-components")
     return prints.join(named, "fp").select(
-        "doc_id", "row_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", "row_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "root", "component_id"
     )
 
 
-def one_per_group(documents: DataFrame, shingle: int = 5) -> DataFrame:
+def one_per_group(documents: DataFrame, shingle: int = 4) -> DataFrame:
     """The document with the smallest id of each group (of repeated rows, one), all columns kept.
 
     Rows without an id stay, as nothing tells which of them a group should keep.
     """
+    own, kept_id, kept_hash = (fresh(documents, name) for name in ("row_hash", "kept_id", "kept_hash"))
     found = near_duplicates(documents, shingle)
     first = (
-        found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("row_hash").alias("_kept_hash"))
-        .withColumnRenamed("component_id", "_kept_id")
+        found.filter("doc_id = component_id").groupBy("root").agg(
+            F.min("doc_id").alias(kept_id), F.min("row_hash").alias(kept_hash)).drop("root")
     )
-    rows = documents.withColumn("_row_hash", row_hash(documents))
-    kept = rows.join(first, (F.col("doc_id") == F.col("_kept_id")) & (F.col("_row_hash") == F.col("_kept_hash")), "left_semi")
-    kept = kept.dropDuplicates(["doc_id", "_row_hash"]).drop("_row_hash")
+    rows = documents.withColumn(own, row_hash(documents))
+    kept = rows.join(first, (F.col("doc_id") == F.col(kept_id)) & (F.col(own) == F.col(kept_hash)), "left_semi")
+    kept = kept.dropDuplicates(["doc_id", own]).drop(own)
     return kept.unionByName(documents.filter("doc_id IS NULL"))

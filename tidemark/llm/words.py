@@ -109,6 +109,21 @@ def row_sums(values: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
     return np.bincount(rows, weights=values, minlength=n_rows)
 
 
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def row_hash(df: DataFrame) -> Column:
-    """Hash of a whole row: with its id, tells it from other rows that share the id."""
-    return F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
+    """Hash of a whole row: with its id, tells it from other rows that share the id.
+
+    The hash passes over nulls, so a mark per column tells (a, null) from (null, a).
+    """
+    return F.xxhash64(*[part for c in df.columns for part in (_named(c).cast("string"), _named(c).isNull())])
+
+
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
