@@ -61,6 +61,14 @@ def apply_feed(old: DataFrame, feed: DataFrame, key: str) -> DataFrame:
     return old.join(touched, key, "left_anti").unionByName(written)
 
 
+def signed_totals(feed: DataFrame, dimensions: Sequence[str], amount: str) -> DataFrame:
+    """What a feed adds to totals: rows arriving count positive, rows leaving negative."""
+    sign = F.when(F.col("_change_type").isin(INSERT, AFTER), 1).otherwise(-1)
+    return feed.select(
+        *dimensions, (F.col(amount) * sign).cast(TOTAL).alias("revenue"), sign.cast("long").alias("lines")
+    )
+
+
 def incremental_revenue(
     previous: DataFrame, feed: DataFrame, dimensions: Sequence[str], amount: str
 ) -> DataFrame:
@@ -69,13 +77,9 @@ def incremental_revenue(
     Rows leaving count negative and rows arriving positive, so an update moves
     its money once.  Groups without rows left disappear.
     """
-    sign = F.when(F.col("_change_type").isin(INSERT, AFTER), 1).otherwise(-1)
-    deltas = feed.select(
-        *dimensions, (F.col(amount) * sign).cast(TOTAL).alias("revenue"), sign.cast("long").alias("lines")
-    )
     return (
         previous.select(*dimensions, "revenue", "lines")
-        .unionByName(deltas)
+        .unionByName(signed_totals(feed, dimensions, amount))
         .groupBy(*dimensions)
         .agg(F.sum("revenue").cast(TOTAL).alias("revenue"), F.sum("lines").alias("lines"))
         .filter("lines <> 0")

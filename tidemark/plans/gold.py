@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import total
 from tidemark.functions.times import day
 from tidemark.operators import changes, gold
 from tidemark.operators.keys import first_per_key
-from tidemark.plans.domain import Domain
+from tidemark.plans.domain import V1_DATE, V2_DATE, Domain
 from tidemark.plans.registry import query
+from tidemark.sinks.changelog import ChangeTable
+from tidemark.streaming.sinks import TotalsTable
 
 CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "city", "country", "segment"]
 
@@ -157,24 +158,26 @@ def segment_churn_risk(d: Domain):
        WHERE quantity % 11 <> 0 GROUP BY 1, 2""",
 )
 def incremental_revenue(d: Domain):
-    """Totals of a first state plus the feed to the second equal a full recompute.
+    """Totals kept up to date from the feed that a merge leaves equal a full recompute.
 
-    The second state reprices lines (quantity divisible by 7) and cancels lines
-    (divisible by 11).
+    The merge reprices lines (quantity divisible by 7) and cancels lines (divisible by
+    11); only the months in its log are rewritten.
     """
     lines = first_per_key(d.fct_orders, ["order_id"])
     before = lines.select("order_id", "product_id", day(F.col("order_ts")).alias("order_date"), "quantity", "unit_price", "line_total")
-    raised = F.when(F.col("quantity") % 7 == 0, F.col("unit_price") + 1).otherwise(F.col("unit_price"))
-    after = (
-        before.filter("quantity % 11 <> 0")
-        .withColumn("unit_price", raised.cast("decimal(12,2)"))
-        .withColumn("line_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"))
-    )
-    previous = before.groupBy("order_date", "product_id").agg(
-        total("line_total").alias("revenue"), F.count(F.lit(1)).alias("lines")
-    )
-    feed = changes.change_feed(before, after, "order_id")
-    return changes.incremental_revenue(previous, feed, ["order_date", "product_id"], "line_total")
+    table = ChangeTable(d.spark, d.scratch("order_lines"), "order_id")
+    table.write(before, V1_DATE)
+    dimensions = ["order_date", "product_id"]
+    totals = TotalsTable(d.scratch("line_totals"), dimensions, ["revenue", "lines"], F.trunc("order_date", "month"))
+    totals.upsert(changes.signed_totals(table.changes(until=0), dimensions, "line_total"), 0)
+    state = table.as_of()
+    raised = state.withColumn("unit_price", (F.col("unit_price") + 1).cast("decimal(12,2)"))
+    repriced = raised.filter("quantity % 7 = 0 AND quantity % 11 <> 0").withColumn(
+        "line_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)"))
+    cancelled = state.filter("quantity % 11 = 0")
+    table.merge(repriced, V2_DATE, delete=cancelled.select("order_id"))
+    totals.upsert(changes.signed_totals(table.changes(since=1), dimensions, "line_total"), 1)
+    return totals.read(d.spark).filter("lines <> 0")
 
 
 @query(

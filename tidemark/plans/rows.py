@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.money import line_total, percent
 from tidemark.functions.text import masked_email, normalised, row_hash
 from tidemark.functions.times import day, parse_timestamp
-from tidemark.operators import gold, history, validation
+from tidemark.operators import gold, history, layout, validation
 from tidemark.plans.domain import Domain, padded
 from tidemark.plans.registry import query
 from tidemark.sinks.tables import shared_view
@@ -154,6 +154,20 @@ def key_time_lookup(d: Domain):
     )
 
 
+@query(
+    "bloom_lookup",
+    """SELECT o_orderkey, o_custkey, o_orderdate, CAST(o_totalprice AS DECIMAL(12,2)) AS amount
+       FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)""",
+)
+def bloom_lookup(d: Domain):
+    """One order in a table sorted by customer and time: its key is found by the row groups' Bloom filters."""
+    orders = d.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    table = layout.write_lookup(orders, d.scratch("orders_lookup"), ["o_orderkey"], ["o_custkey", "o_orderdate"], 0.25)
+    key = orders.agg(F.max("o_orderkey")).first()[0]
+    return table.filter(F.col("o_orderkey") == key).select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.col("o_totalprice").cast("decimal(12,2)").alias("amount"))
+
+
 @query(
     "scd2_history",
     """SELECT customer_id, city, is_current, valid_from, valid_to FROM dim_customers

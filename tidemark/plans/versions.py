@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes, layout
-from tidemark.plans.domain import Domain
+from tidemark.plans.domain import V1_DATE, V2_DATE, Domain
 from tidemark.plans.registry import query
-from tidemark.sinks import tables, versions
+from tidemark.sinks import tables
+from tidemark.sinks.changelog import ChangeTable
 
 STATE = ["customer_id", "email", "city", "phone"]
 DATES = ["2024-05-10 00:00:00", "2024-05-14 12:00:00", "2024-05-16 00:00:00"]
@@ -24,15 +25,19 @@ _FEED = """
     WHERE a.customer_id IS NULL OR a.email <> b.email OR a.city <> b.city"""
 
 
-def feed(d: Domain):
-    return changes.change_feed(
-        d.customers_v1.select(*STATE), d.customers_v2.select(*STATE), "customer_id", 1, "1998-01-01 00:00:00"
-    )
+def customer_table(d: Domain) -> ChangeTable:
+    """The customer table after its second load: a merge of the new rows and of the keys that left."""
+    table = ChangeTable(d.spark, d.scratch("customer_changes"), "customer_id")
+    table.write(d.customers_v1.select(*STATE), V1_DATE)
+    gone = d.customers_v1.select("customer_id").join(d.customers_v2.select("customer_id"), "customer_id", "left_anti")
+    table.merge(d.customers_v2.select(*STATE), V2_DATE, delete=gone)
+    return table
 
 
 @query("change_feed", _FEED)
 def change_feed(d: Domain):
-    return feed(d).select(*STATE, F.col("_change_type").alias("change_type"))
+    """What the merge left in its log."""
+    return customer_table(d).changes(since=1).select(*STATE, F.col("_change_type").alias("change_type"))
 
 
 @query(
@@ -41,7 +46,9 @@ def change_feed(d: Domain):
         FROM ({_FEED}) WHERE change_type IN ('insert', 'update_postimage')""",
 )
 def changes_since(d: Domain):
-    return changes.changes_since(feed(d), version=1, ts="1996-05-01 00:00:00").select(
+    """New and updated rows since a time: only the later versions' folders are read."""
+    feed = customer_table(d).changes(ts="1996-05-01 00:00:00")
+    return changes.changes_since(feed).select(
         "customer_id",
         "city",
         F.col("_change_type").alias("change_type"),
@@ -49,18 +56,14 @@ def changes_since(d: Domain):
     )
 
 
-def order_versions(d: Domain) -> str:
-    """Three states of the order table, each committed as a version."""
-    path = d.scratch("order_versions")
+def order_versions(d: Domain) -> ChangeTable:
+    """Three versions of the order table: a first load, an append, a delete."""
+    table = ChangeTable(d.spark, d.scratch("order_versions"), "order_id")
     lines = d.fct_orders.select("order_id", "customer_id", "line_total", "order_ts")
-    states = [
-        (lines.filter("order_ts < timestamp_ntz'1997-01-01'"), "WRITE"),
-        (lines, "APPEND"),
-        (lines.filter("order_ts >= timestamp_ntz'2000-01-01'"), "DELETE"),
-    ]
-    for (state, operation), at in zip(states, DATES):
-        versions.commit(state, path, operation, at)
-    return path
+    table.write(lines.filter("order_ts < timestamp_ntz'1997-01-01'"), DATES[0])
+    table.append(lines.filter("order_ts >= timestamp_ntz'1997-01-01'"), DATES[1])
+    table.delete(F.col("order_ts") < F.lit("2000-01-01").cast("timestamp_ntz"), DATES[2])
+    return table
 
 
 @query(
@@ -71,9 +74,9 @@ def order_versions(d: Domain) -> str:
 )
 def as_of_version(d: Domain):
     """Version 0 by number and version 1 by time."""
-    path = order_versions(d)
-    by_number = versions.as_of_version(d.spark, path, version=0).withColumn("version", F.lit(0))
-    by_time = versions.as_of_version(d.spark, path, ts="2024-05-15 00:00:00").withColumn("version", F.lit(1))
+    table = order_versions(d)
+    by_number = table.as_of(version=0).withColumn("version", F.lit(0))
+    by_time = table.as_of(ts="2024-05-15 00:00:00").withColumn("version", F.lit(1))
     return by_number.unionByName(by_time)
 
 
@@ -86,18 +89,16 @@ def as_of_version(d: Domain):
        WHERE order_ts >= TIMESTAMP '2000-01-01'""",
 )
 def version_history(d: Domain):
-    log = versions.version_history(d.spark, order_versions(d))
-    return log.withColumn("version", F.col("version").cast("int")).drop("data_version")
+    log = order_versions(d).history()
+    return log.select(F.col("version").cast("int").alias("version"), "committed_at", "operation", "row_count")
 
 
 @query("restore_version", "SELECT order_id, customer_id, line_total, order_ts FROM fct_orders")
 def restore_version(d: Domain):
     """The full state, found by its commit time, becomes the newest version again."""
-    path = order_versions(d)
-    versions.restore(
-        d.spark, path, "2024-05-14 00:00:00", "2024-05-15 00:00:00", "2024-05-17 00:00:00", min_rows=1000
-    )
-    return versions.as_of_version(d.spark, path)
+    table = order_versions(d)
+    table.restore("2024-05-17 00:00:00", after="2024-05-14 00:00:00", before="2024-05-15 00:00:00", min_rows=1000)
+    return table.as_of()
 
 
 @query(
@@ -106,10 +107,12 @@ def restore_version(d: Domain):
        FROM fct_orders""",
 )
 def compact_files(d: Domain):
-    """Many small files rewritten as few, their number taken from the bytes they hold."""
+    """Many small files packed into few by their sizes; a file that is large already stays as it is."""
     small, large = d.scratch("orders_small_files"), d.scratch("orders_compacted")
-    d.fct_orders.repartition(64).write.parquet(small)
-    table = layout.compact_files(d.spark, small, large)
+    recent = F.col("order_ts") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    d.fct_orders.filter(~recent).coalesce(1).write.parquet(small)
+    d.fct_orders.filter(recent).repartition(32).write.mode("append").parquet(small)
+    table = layout.pack_files(d.spark, small, large, target_mb=1, sort=["order_ts", "order_id"]).read()
     files = layout.file_report(d.spark.read.parquet(small)).agg(F.count(F.lit(1)).alias("n")).scalar()
     report = layout.file_report(table).agg(F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("_files")).select(
         "row_count", (F.col("_files") < files).alias("fewer_files")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,7 +35,7 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 
 class TotalsTable:
-    """Running totals in one folder per value of the first key; a micro-batch rewrites only those it touches.
+    """Running totals in one folder per value of the first key (or of ``part``); a batch rewrites only those it touches.
 
     Each such part has two slots.  Batch ``n`` adds to the part's newest state before
     ``n`` and writes the other slot: a batch repeated after a failure, even one that
@@ -45,15 +45,16 @@ class TotalsTable:
     refused: it would be counted in nobody's totals.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], sums: Sequence[str]):
+    def __init__(self, path: str, keys: Sequence[str], sums: Sequence[str], part: Column | None = None):
         self.path, self.keys, self.sums = path, list(keys), list(sums)
+        self.part = F.col(self.keys[0]) if part is None else part
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         states = read_if_exists(batch.sparkSession, self.path)
         newest = None if states is None else states.agg(F.max("_batch")).first()[0]
         if newest is not None and newest > batch_id:
             raise ValueError(f"batch {batch_id} after batch {newest}: the checkpoint is not that of these totals")
-        part = F.coalesce(F.concat(F.lit("v"), F.col(self.keys[0]).cast("string")), F.lit("null"))
+        part = F.coalesce(F.concat(F.lit("v"), self.part.cast("string")), F.lit("null"))
         sums = [F.sum(c).cast(TOTAL if kind.startswith("decimal") else kind).alias(c)
                 for c, kind in batch.dtypes if c in self.sums]
         totals = batch.groupBy(*self.keys).agg(*sums).withColumn("_part", part)
