@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import open_end
@@ -32,7 +32,8 @@ def point_in_time(
     """Inner join on ``start <= ts < end`` (``<= end`` when ``closed``); open end = NULL.
 
     The closed form matches the closing instant with both neighbours, so a fact
-    on a boundary appears once for each.
+    on a boundary appears once for each.  Versions of a key must not overlap; where they
+    may, use ``point_in_time_overlapping``.
     """
     usable = fact.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     versions = dim.withColumn(end, F.coalesce(F.col(end).cast("timestamp_ntz"), open_end()))
@@ -55,6 +56,43 @@ def point_in_time(
     return inside.unionByName(on_end)
 
 
+def point_in_time_overlapping(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    ts: str,
+    values: Sequence[str],
+    start: str = "valid_from",
+    end: str = "valid_to",
+    closed: bool = False,
+    days: int = 90,
+) -> DataFrame:
+    """The same join where versions of a key may overlap: a fact meets every version valid at its time.
+
+    Time is cut into bins of ``days``.  A version stands in every bin that it covers
+    between the first and the last fact, a fact in the one that holds its time, and
+    the two meet on (key, bin): each pair is found once, and facts of a hot key are spread
+    over its bins.  On histories without overlaps the join costs facts + version bins.
+    """
+    usable = fact.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    moment = F.col(ts).cast("timestamp_ntz")
+
+    def place(time) -> Column:
+        return F.floor(F.date_diff(F.to_date(time), F.lit("1970-01-01").cast("date")) / F.lit(days)).cast("int")
+
+    first, last = usable.agg(F.min(place(moment)), F.max(place(moment))).first()
+    bounds = dim.select(
+        F.col(key), F.col(start).cast("timestamp_ntz").alias("_from"),
+        F.coalesce(F.col(end).cast("timestamp_ntz"), open_end()).alias("_to"), *values)
+    low = F.greatest(place("_from"), F.lit(0 if first is None else first))
+    high = F.least(place("_to"), F.lit(-1 if last is None else last))
+    placed = bounds.withColumns({"_low": low, "_high": high}).filter("_low <= _high").withColumn(
+        "_bin", F.explode(F.sequence("_low", "_high")))
+    inside = (moment >= F.col("_from")) & ((moment <= F.col("_to")) if closed else (moment < F.col("_to")))
+    found = usable.withColumn("_bin", place(moment)).join(placed, [key, "_bin"])
+    return found.filter(inside).select(*fact.columns, *values)
+
+
 def snapshot_as_of_join(
     fact: DataFrame, snapshot: DataFrame, key: str, values: Sequence[str]
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.functions.money import PRICE
 from tidemark.functions.times import ORDER_TS_FORMAT, RETURN_DATE_FORMAT
 from tidemark.operators import history, validation
 from tidemark.session import enable_skew_splitting, scratch_path
-from tidemark.sinks.tables import overwrite_table, read_if_exists
+from tidemark.sinks.tables import overwrite_table, read_if_exists, save_bucketed
 from tidemark.sources.files import parquet_stream
 from tidemark.sources.schemas import RETURN_REASONS
 
@@ -86,6 +86,16 @@ class Domain:
             found = self.spark.read.parquet(path)
         return found
 
+    def catalog_table(self, name: str, build: Callable[[], DataFrame], key: str) -> DataFrame:
+        """The catalog table ``name`` in buckets of ``key``, written by its first reader and read by name."""
+        slot = (self.spark.sparkContext.applicationId, self.dir, self._files, f"table {name}")
+        if slot not in _LAYERS or not self.spark.catalog.tableExists(_LAYERS[slot]):
+            path = self.scratch(name)
+            table = "t_" + path.rsplit("/", 1)[-1].replace("-", "_")
+            save_bucketed(build(), table, key, int(self.spark.conf.get("spark.sql.shuffle.partitions")), path)
+            _LAYERS[slot] = table
+        return self.spark.table(_LAYERS[slot])
+
     @cached_property
     def as_of(self) -> Column:
         """Time of the newest order, as a scalar subquery on one column."""

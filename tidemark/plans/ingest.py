@@ -11,6 +11,7 @@ from tidemark.operators.gold import revenue_daily, table_stats
 from tidemark.plans.domain import PRODUCT_COLUMNS, V1_DATE, V2_DATE, Domain
 from tidemark.plans.registry import query
 from tidemark.sinks import tables
+from tidemark.sinks.increments import ResumableLoad
 from tidemark.sources import files, literals, schemas
 from tidemark.streaming.sinks import run_to_table
 
@@ -196,6 +197,17 @@ def cdc_apply(d: Domain):
     return merge.cdc_apply(first, later, "customer_id", "seq")
 
 
+@query("cdc_resume", "SELECT * FROM customers_v2")
+def cdc_resume(d: Domain):
+    """The change log loaded in three steps: all of it up to the first mark, then what is above, then nothing new."""
+    log = d.stored(change_log(d), "customer_log")
+    load = ResumableLoad(d.spark, d.scratch("customer_load"), "customer_id", "seq", late=F.expr("INTERVAL 1 DAY"))
+    load.load(log.filter(F.col("seq") == F.lit(V1_DATE).cast("timestamp_ntz")))
+    load.load(log)
+    load.load(log)
+    return load.read()
+
+
 @query(
     "price_history",
     """WITH feed AS (

@@ -27,10 +27,15 @@ from tidemark.sources.files import load_categories, load_regions
          ON r.customer_id = c.customer_id""",
 )
 def left_join_metrics(d: Domain):
-    """Every customer with its counts; no rows on a side stays NULL."""
+    """Every customer with its counts; no rows on a side stays NULL.
+
+    The facts are catalog tables in buckets of the customer: they are counted without a shuffle.
+    """
+    orders = d.catalog_table("orders-by-customer", lambda: d.fct_orders.select("order_id", "customer_id"), "customer_id")
+    returns = d.catalog_table("returns-by-customer", lambda: d.fct_returns.select("return_id", "customer_id"), "customer_id")
     counted = [
         rows.groupBy("customer_id").agg(F.count(F.lit(1)).alias(name))
-        for rows, name in ((d.fct_orders, "order_lines"), (d.fct_returns, "return_lines"))
+        for rows, name in ((orders, "order_lines"), (returns, "return_lines"))
     ]
     result = d.customers.select("customer_id")
     for side in counted:
@@ -145,6 +150,36 @@ def pit_join_closed(d: Domain):
     return joined.drop("customer_id")
 
 
+_OVERLAPPING = """
+    SELECT customer_id, city, valid_from, valid_to FROM dim_customers
+    UNION ALL SELECT customer_id, 'TEMPORARY', TIMESTAMP '1994-07-01', TIMESTAMP '1996-02-01' FROM customers_v1
+    WHERE right(customer_id, 1) = '3'
+    UNION ALL SELECT customer_id, 'EXTRA', TIMESTAMP '1996-01-01', NULL FROM customers_v1 WHERE right(customer_id, 1) = '3'"""
+
+
+@query(
+    "overlapping_history_join",
+    f"""SELECT o.order_id, o.order_ts, c.city, closed FROM fct_orders o
+        JOIN (SELECT *, unnest([false, true]) AS closed FROM ({_OVERLAPPING})) c ON o.customer_id = c.customer_id
+         AND o.order_ts >= valid_from AND (valid_to IS NULL OR o.order_ts < valid_to OR closed AND o.order_ts = valid_to)""",
+)
+def overlapping_history_join(d: Domain):
+    """Orders with every address valid at their time, where some customers have several, in both forms."""
+    some = d.customers_v1.filter(F.col("customer_id").endswith("3"))
+    spans = [("TEMPORARY", "1994-07-01", "1996-02-01"), ("EXTRA", "1996-01-01", None)]
+    history = d.dim_customers.select("customer_id", "city", "valid_from", "valid_to")
+    for city, start, end in spans:
+        history = history.unionByName(some.select(
+            "customer_id", F.lit(city).alias("city"), F.lit(start).cast("timestamp_ntz").alias("valid_from"),
+            F.lit(end).cast("timestamp_ntz").alias("valid_to")))
+    facts = d.fct_orders.select("order_id", "customer_id", "order_ts")
+    forms = [
+        temporal.point_in_time_overlapping(facts, history, "customer_id", "order_ts", ["city"], closed=closed)
+        .withColumn("closed", F.lit(closed)) for closed in (False, True)
+    ]
+    return forms[0].unionByName(forms[1]).drop("customer_id")
+
+
 @query(
     "snapshot_as_of_join",
     """SELECT o.order_id, o.line_total, c.city AS city_then

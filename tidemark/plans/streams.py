@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import validation
 from tidemark.plans.domain import Domain, padded
 from tidemark.plans.registry import query
 from tidemark.streaming import orders, sinks
@@ -130,6 +131,65 @@ def stream_dedup(d: Domain):
     return sinks.run_to_table(once, d.scratch("orders_once"), d.scratch("orders_once_state"))
 
 
+@query(
+    "stream_quarantine",
+    f"""SELECT o.order_id, o.customer_id, ok, copies FROM (
+          SELECT *, event_id % 89 <> 0 AND CAST(unit_price AS DECIMAL(12,2)) > 0
+                 AND customer_id IN (SELECT customer_id FROM customers)
+                 AND product_id IN (SELECT product_id FROM products) AS ok,
+                 CASE WHEN event_id % 89 = 0 THEN 'C-UNKNOWN' ELSE customer_id END AS cid
+          FROM ({_EVENT_ORDERS})) x
+        JOIN (SELECT order_id, CASE WHEN event_id % 89 = 0 THEN 'C-UNKNOWN' ELSE customer_id END AS customer_id FROM ({_EVENT_ORDERS})) o
+          USING (order_id), (VALUES (1), (2)) v(copies)
+        WHERE copies = 1 OR NOT ok""",
+)
+def stream_quarantine(d: Domain):
+    """Every order event delivered twice: good ones once, and all bad ones, from the same batches."""
+    def flag(batch):
+        return validation.flag_orders(batch, d.customer_keys, d.products)
+
+    twice = order_events(d.stream("events").unionByName(d.stream("events")))
+    sink = sinks.ValidatedSink(d.scratch("orders_checked"), flag, "order_id", "order_ts")
+    sinks.validate_stream(twice, sink, d.scratch("orders_checked_state")).awaitTermination()
+    good = sink.read(d.spark, True).select("order_id", "customer_id", F.lit(True).alias("ok"), F.lit(1).alias("copies"))
+    bad = sink.read(d.spark, False).groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    each = bad.select("order_id", "customer_id", F.lit(False).alias("ok"), F.explode(F.sequence(F.lit(1), "n")).alias("copies"))
+    return good.unionByName(each)
+
+
+@query(
+    "watermark_losses",
+    """WITH late AS (SELECT event_id, ts, ts + (event_id % 20) * INTERVAL 1 HOUR AS arrival FROM events),
+            ends AS (SELECT min(arrival) AS a, max(arrival) AS b FROM late),
+            parts AS (SELECT event_id, ts, CAST(least(2, floor(3 * (epoch_us(arrival) - epoch_us(a)) / (epoch_us(b) - epoch_us(a)))) AS INTEGER) AS part
+                      FROM late, ends),
+            tops AS (SELECT part, max(ts) AS top FROM parts GROUP BY 1)
+       SELECT hours AS delay_hours, count(*) AS total_rows,
+              count(*) FILTER (ts <= (SELECT max(top) FROM tops WHERE tops.part < parts.part) - hours * INTERVAL 1 HOUR) AS dropped_rows
+       FROM parts, (VALUES (5), (15)) v(hours) GROUP BY 1""",
+)
+def watermark_losses(d: Domain):
+    """Rows that a stream over three arriving parts loses to a watermark of 5 and of 15 hours."""
+    lag = F.make_dt_interval(hours=(F.col("event_id") % 20).cast("int"))
+    late = d.table("events").select("event_id", "ts", (F.col("ts") + lag).alias("arrival"))
+    at = F.unix_micros(F.col("arrival").cast("timestamp"))
+    low, high = late.agg(F.min(at), F.max(at)).first()
+    part = F.least(F.lit(2), F.floor(3 * (at - F.lit(low)) / F.lit(max(high - low, 1)))).cast("int")
+    source = d.scratch("late_events")
+    parts = late.select("event_id", F.col("ts").cast("timestamp").alias("ts"), part.alias("part"))
+    states = {hours: (d.scratch(f"late_{hours}"), d.scratch(f"late_{hours}_state")) for hours in (5, 15)}
+    dropped = dict.fromkeys(states, 0)
+    for n in range(3):
+        parts.filter(F.col("part") == n).drop("part").write.mode("append").parquet(source)
+        for hours, (path, state) in states.items():
+            arriving = d.spark.readStream.schema("event_id long, ts timestamp").parquet(source)
+            once = orders.stream_dedup(arriving, "event_id", "ts", f"{hours} hours")
+            dropped[hours] += sinks.run_counted(once, path, state)[1]
+    total = d.table("events").count()
+    losses = [(hours, total, n) for hours, n in dropped.items()]
+    return d.spark.createDataFrame(losses, "delay_hours int, total_rows long, dropped_rows long")
+
+
 @query(
     "stream_upsert_revenue",
     """SELECT CAST(ts AS DATE) AS order_date, event_type,

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.money import TOTAL
+from tidemark.operators.keys import distinct_keys, first_per_key
+from tidemark.session import stored
 from tidemark.sinks.tables import read_if_exists
 
 
@@ -34,6 +36,63 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def run_counted(stream: DataFrame, path: str, checkpoint: str) -> tuple[DataFrame, int]:
+    """Run over what is available; the table, and how many rows the watermark dropped in this run.
+
+    Counted by the stateful operators of every batch.  Deduplication counts rows; an
+    aggregate counts what reaches it, which is one row per task and group.  A run of more
+    batches than the session keeps reports of is refused, rather than counted in part.
+    """
+    query = append_stream(stream, path, checkpoint)
+    query.awaitTermination()
+    spark = stream.sparkSession
+    reports = query.recentProgress
+    if len(reports) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+        raise ValueError("raise spark.sql.streaming.numRecentProgressUpdates: reports of early batches are gone")
+    dropped = sum(state["numRowsDroppedByWatermark"] for report in reports for state in report["stateOperators"])
+    return spark.read.schema(stream.schema).parquet(path), dropped
+
+
+class ValidatedSink:
+    """Good and quarantined rows of a stream, from one pass over each micro-batch.
+
+    ``flag`` marks a batch's rows with ``_ok``.  A batch is one write of the folder
+    ``_batch=n``, its good and bad rows parted by ``_ok``: either both are there or neither,
+    and a batch that is repeated after a failure replaces its own folder only.  Good
+    rows are kept once per ``key``: the least of a batch, unless an earlier batch has the key;
+    only batches' rows from ``days`` before the batch's oldest time are looked at.
+    """
+
+    def __init__(self, path: str, flag: Callable[[DataFrame], DataFrame], key: str, ts: str, days: int = 1):
+        self.path, self.flag, self.key, self.ts, self.days = path, flag, key, ts, days
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        flagged = stored(self.flag(batch), "flagged")
+        good, bad = flagged.filter("_ok"), flagged.filter("NOT _ok")
+        fresh = first_per_key(good, [self.key])
+        known = read_if_exists(spark, self.path)
+        if known is not None:
+            oldest = good.agg(F.min(self.ts)).first()[0]
+            earlier = known.filter((F.col("_batch") < batch_id) & F.col("_ok"))
+            if oldest is not None:
+                earlier = earlier.filter(F.col(self.ts) >= F.lit(oldest) - F.make_dt_interval(F.lit(self.days)))
+            fresh = fresh.join(distinct_keys(earlier, self.key), self.key, "left_anti").select(*good.columns)
+        both = fresh.unionByName(bad)
+        both.write.mode("overwrite").partitionBy("_ok").parquet(f"{self.path}/_batch={batch_id}")
+
+    def read(self, spark: SparkSession, ok: bool) -> DataFrame:
+        """The good rows, or the quarantined ones; only their folders are read."""
+        return spark.read.parquet(self.path).filter(F.col("_ok") == F.lit(ok)).drop("_batch", "_ok")
+
+
+def validate_stream(stream: DataFrame, sink: ValidatedSink, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Validate micro-batches into the sink; without ``every``, over what is available."""
+    writer = stream.writeStream.foreachBatch(sink.write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
 class TotalsTable:
     """Running totals in one folder per value of the first key (or of ``part``); a batch rewrites only those it touches.
 
