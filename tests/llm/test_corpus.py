@@ -190,6 +190,27 @@ def test_neighbours_reach_recall_and_exact_scores(spark):
     assert hits >= 0.9 * len(found)
 
 
+@pytest.mark.parametrize("longest", [1e5])
+def test_neighbours_with_trees_and_a_long_vector(spark, longest):
+    """Above one block: hyperplanes, NN-descent and search; one vector may be far longer than all others."""
+    source = np.random.default_rng(3)
+    centres = source.normal(size=(40, 24))
+    m = centres[source.integers(0, 40, 1500)] + 0.6 * source.normal(size=(1500, 24))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    m *= source.uniform(0.5, 1.0, (1500, 1))
+    m[77] *= longest
+    vectors = spark.createDataFrame([(i, r.tolist(), "x", 1) for i, r in enumerate(m)], "vec_id long, embedding array<double>, q string, node int")
+    found = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0).toPandas()
+    hits = 0
+    for q, part in found.groupby("query_id"):
+        scores = m @ m[q]
+        scores[q] = -np.inf
+        best = np.lexsort((np.arange(len(m)), -scores))[:20]
+        assert np.allclose(part["score"], scores[part["vec_id"]], rtol=1e-9)
+        hits += len(set(best) & set(part["vec_id"]))
+    assert len(found) == 75 * 20 and hits >= 0.95 * len(found)
+
+
 def test_neighbours_on_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     data = [(i, [1.0, 0.0]) for i in range(30)] + [(40, [0.5, 0.5]), (41, None), (42, [0.0, 0.0]), (43, [nan, 1.0]),
