@@ -24,7 +24,7 @@ CARRIED = ["first_name", "last_name", "segment"]
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                 "l_returnflag", "l_shipdate", "o_custkey", "o_orderdate"]
 #: Tables that the stored layers are made of.
-LAYER_INPUTS = ["lineitem", "orders", "customer", "part"]
+LAYER_INPUTS = ["lineitem", "orders", "customer", "part", "nation", "region"]
 #: Where a session keeps each layer: (application, directory, state of its files, layer) -> path.
 _LAYERS: dict[tuple, str] = {}
 PRODUCT_COLUMNS = ["product_name", "category", "unit_price", "supplier_id"]
@@ -177,8 +177,8 @@ class Domain:
 
     @cached_property
     def customer_keys(self) -> DataFrame:
-        """The keys of :attr:`customers`, without looking up places."""
-        return self.table("customer").select(padded("C", "c_custkey", 6).alias("customer_id"))
+        """The keys of the customer history's current rows, which facts are checked against."""
+        return self.layer("current-customers", lambda: history.current_rows(self.dim_customers).select("customer_id"))
 
     @cached_property
     def customers_v1(self) -> DataFrame:

@@ -36,8 +36,10 @@ def fct_orders(d: Domain):
     "SELECT return_id, order_id, return_date, reason_code, refund_amount, ok FROM flagged_returns",
 )
 def fct_returns(d: Domain):
-    return d.flagged_returns.select(
-        "return_id", "order_id", "return_date", "reason_code", "refund_amount", F.col("_ok").alias("ok")
+    """Good and quarantined returns, stored apart by one write of the flagged table."""
+    table = tables.write_validated(d.flagged_returns, d.scratch("returns_validated"))
+    return table.select(
+        "return_id", "order_id", "return_date", "reason_code", "refund_amount", F.col("_ok").cast("boolean").alias("ok")
     )
 
 

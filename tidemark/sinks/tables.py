@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
 BUCKETS = "_buckets"
+BUCKET_MB = 1024
+BUCKETS_AT_LEAST = 256
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
@@ -71,7 +73,7 @@ def create_or_merge(
     path: str,
     key: str,
     merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """First run: the source's initial state.  Later runs: merge into the table in place.
 
@@ -80,18 +82,25 @@ def create_or_merge(
     buckets and not the table.  ``merge`` must give the same result when it is
     repeated, as the upserts of this package do for a fixed ``as_of``.  A bucket that a merge
     empties keeps one row without a key, so that it is rewritten too; such rows are never read.
-    The number of buckets is part of the table, another one is refused.
+    The number of buckets is part of the table: chosen when it is created (one per
+    ``BUCKET_MB`` of the first source, ``BUCKETS_AT_LEAST`` at least), kept from then on, and
+    another one is refused.
     """
     spark = source.sparkSession
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     table = read_if_exists(spark, path)
+    known = None if table is None else table.filter(F.col(BUCKETS).isNotNull()).select(BUCKETS).first()
+    if known is not None and buckets not in (None, known[0]):
+        raise ValueError(f"the table has {known[0]} buckets, not {buckets}")
+    if known is not None:
+        buckets = known[0]
+    elif buckets is None:
+        size = int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        buckets = max(BUCKETS_AT_LEAST, min(-(-size // (BUCKET_MB << 20)), 1 << 20))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     emptied = None
     if table is None:
         state = merge(None, source)
     else:
-        stored_buckets = table.filter(F.col(BUCKETS).isNotNull()).select(BUCKETS).first()
-        if stored_buckets is not None and stored_buckets[0] != buckets:
-            raise ValueError(f"the table has {stored_buckets[0]} buckets, not {buckets}")
         touched = [row[0] for row in source.select(bucket).distinct().collect()]  # at most ``buckets``
         before = table.filter(F.col(BUCKET).isin(touched) & F.col(key).isNotNull()).drop(BUCKET, BUCKETS)
         state = merge(before, source)
