@@ -379,6 +379,30 @@ def test_secrets_under_nested_layers():
     assert secrets.spans(quine + " " + quine)[1] == []
 
 
+def test_secrets_in_unusual_encodings():
+    secret = "password=hunter2hunter2"
+    raw = secret.encode()
+    b64 = lambda data: base64.b64encode(data).decode()
+    quoted = lambda data: "".join(f"%{b:02x}" for b in data)
+    wide = "".join(f"\\u{ord(c):04x}" for c in secret)
+    lines = base64.encodebytes(b"some words before it, to fill the first line; " * 2 + raw).decode().strip()
+    for hidden in (
+        b64(f"see\u00a0{secret}".encode()), b64(b"caf\xe9 " + raw), b64(b"\xef\xbb\xbf" + raw),
+        b64(secret.encode("utf-16")), b64(secret.encode("utf-16-le")), b64(secret.encode("utf-16-be")),
+        lines, lines.replace("\n", "\r\n"), "dir/x/" + b64(raw), "a/" + b64(raw), "key1/" + b64(gzip.compress(raw)),
+        quoted(gzip.compress(raw)), quoted(raw + b"\xff" + raw), "\\ud800" + wide, wide + "\\udc01",
+        b64(b"\x00\x01\x02" + raw), quoted(b64(b"\xa0" + raw).encode()),
+    ):
+        text = f"\u00e9 before {hidden} after"
+        start = text.index(hidden)
+        every = secrets.spans(text)[1]
+        assert any(k == 0 and start <= s and e <= start + len(hidden) for s, k, e in every), hidden
+        masked = secrets.masked(text)
+        assert masked.startswith("\u00e9 before ") and masked.endswith(" after") and secrets.MASK in masked
+    for plain in ("a long wordwithoutanyspaceatall here", b64(b"nothing to see in this text, at all"), "%41%42%ff", "dir/sub/another/file_name-2"):
+        assert secrets.spans(plain)[1] == []
+
+
 def test_secrets_in_compressed_layers_to_a_fixpoint():
     secret = b"password=hunter2hunter2"
     half = len(secret) // 2

@@ -2,8 +2,9 @@
 
 A document is a worklist of layers.  Each layer is searched for the three kinds of
 secrets, then unwrapped in every way that applies: URL escapes, Unicode escapes,
-base64 runs, and compressed bytes that a base64 run turns out to hold.  What comes
-out joins the worklist unless the document has had the same layer before, so loops
+base64 runs (from each of their first four characters, and joined over line ends), and
+compressed bytes that either turns out to hold.  Decoded bytes are read as UTF-8 or
+UTF-16, with a placeholder for what is neither.  What comes out joins the worklist unless the document has had the same layer before, so loops
 (an archive that contains itself) end, and the work ends when no layer yields a new
 one.  Every character of a layer knows the span of the document it comes from;
 what is found deep down is reported where its encoding stands in the document.
@@ -21,7 +22,6 @@ repeated; spans found in several layers count once; other columns are ignored by
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import codecs
 import hashlib
@@ -50,6 +50,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Lines of base64 characters, each but the last at least 16 long.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[ \t]*+\r?\n[ \t]*+)++[A-Za-z0-9+/_-]+={0,2}")
+SPACES = b" \t\r\n"
+#: How gzip, bzip2 and xz streams begin, where they do not stand at the front.
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+STRAY = re.compile("[\ud800-\udfff]")
 CHUNK = 1 << 20
 # the characters of secrets, escapes and base64 runs
 UNCUT = string.ascii_letters + string.digits + "+/_.=-%\\:\"' "
@@ -85,34 +91,54 @@ class Layer:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
 
 
-def _unescaped(layer: Layer) -> Layer | None:
-    """The layer with its URL and Unicode escapes resolved, or None without any."""
+def _lenient(data: bytes) -> tuple[str, np.ndarray]:
+    """UTF-8 bytes as text, and the bytes of each character; a byte that is none of UTF-8 is one placeholder."""
+    text = data.decode("utf-8", "surrogateescape")
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    odd = (codes >= 0xDC80) & (codes <= 0xDCFF)
+    sizes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+    return STRAY.sub("\ufffd", text), np.where(odd, 1, sizes)
+
+
+def _wide(units: bytes, order: str) -> tuple[str, np.ndarray]:
+    """UTF-16 units as text, and the units of each character; a lone surrogate is one placeholder."""
+    text = units.decode(f"utf-16-{order}", "surrogatepass")
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return STRAY.sub("\ufffd", text), 1 + (codes >= 0x10000).astype(np.int64)
+
+
+def _unescaped(layer: Layer) -> Iterator[Layer]:
+    """The layer with its URL and Unicode escapes resolved; and what compressed bytes written as escapes hold."""
     text, pieces_, starts, ends, last = layer.text, [], [], [], 0
     for m in ESCAPES.finditer(text):
         raw = m.group()
         if raw[0] == "%":
-            try:
-                plain = bytes.fromhex(raw.replace("%", "")).decode("utf-8")
-            except UnicodeDecodeError:
-                continue
-            widths = [3 * len(c.encode("utf-8")) for c in plain]
+            data = bytes.fromhex(raw.replace("%", ""))
+            yield from _inner(data, *layer.part(m.start(), m.end()))
+            plain, sizes = _lenient(data)
+            widths = 3 * sizes
         else:
-            units = bytes.fromhex(raw.replace("\\u", ""))
-            plain = units.decode("utf-16-be", "surrogatepass")
-            if any(0xD800 <= ord(c) < 0xE000 for c in plain):
-                continue
-            widths = [6 * (1 + (ord(c) > 0xFFFF)) for c in plain]
+            plain, sizes = _wide(bytes.fromhex(raw.replace("\\u", "")), "be")
+            widths = 6 * sizes
         at = m.start() + np.concatenate(([0], np.cumsum(widths)))
         pieces_ += [text[last : m.start()], plain]
         starts += [layer.starts[last : m.start()], layer.starts[at[:-1]]]
         ends += [layer.ends[last : m.start()], layer.ends[at[1:] - 1]]
         last = m.end()
-    if not pieces_:
-        return None
-    pieces_.append(text[last:])
-    starts.append(layer.starts[last:])
-    ends.append(layer.ends[last:])
-    return Layer("".join(pieces_), np.concatenate(starts), np.concatenate(ends))
+    if pieces_:
+        pieces_.append(text[last:])
+        starts.append(layer.starts[last:])
+        ends.append(layer.ends[last:])
+        yield Layer("".join(pieces_), np.concatenate(starts), np.concatenate(ends))
+
+
+def _inner(data: bytes, start: int, end: int) -> Iterator[Layer]:
+    """What compressed bytes hold that begin at the front of ``data`` or at a mark further on."""
+    fronts = {0} if _packed(data[:6]) else set()
+    fronts.update(m.start() for m in MAGIC.finditer(data))
+    for front in sorted(fronts):
+        for text in _unpacked(data[front:]):
+            yield Layer(text, np.full(len(text), start), np.full(len(text), end))
 
 
 def _packed(head: bytes) -> str | None:
@@ -207,36 +233,60 @@ def _unpacked(data: bytes) -> Iterator[str]:
             yield from _texts(iter(lambda: source.read(CHUNK), b""))
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _readings(data: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    """The texts that bytes may be, each with the bytes of its characters."""
+    head = data[:2]
+    order = "le" if head == b"\xff\xfe" else "be" if head == b"\xfe\xff" else None
+    if order is None and len(data) > 7 and 0 in data:
+        zeros = np.frombuffer(data, np.uint8) == 0
+        order = "le" if zeros[1::2].mean() > 0.4 else "be" if zeros[::2].mean() > 0.4 else None
+    if order is not None:
+        text, units = _wide(data[: len(data) // 2 * 2], order)
+        yield text, 2 * units
+    else:
+        yield _lenient(data)
+
+
+def _runs(text: str) -> Iterator[tuple[str, np.ndarray]]:
+    """Base64 runs and the places of their characters; runs wrapped over lines once more as one."""
+    for m in BASE64.finditer(text):
+        yield m.group(), np.arange(m.start(), m.end())
+    for m in WRAPPED.finditer(text):
+        codes = np.frombuffer(m.group().encode("ascii"), np.uint8)
+        solid = ~np.isin(codes, np.frombuffer(SPACES, np.uint8))
+        yield codes[solid].tobytes().decode("ascii"), m.start() + np.flatnonzero(solid)
+
+
+def _telling(text: str) -> bool:
+    """Whether a layer is worth a place in the worklist: it holds a secret or a further encoding."""
+    return ESCAPES.search(text) is not None or BASE64.search(text) is not None or next(found(text), None) is not None
 
 
 def _decoded(layer: Layer) -> Iterator[Layer]:
-    """What the base64 runs of a layer hold: text, or the content of compressed bytes."""
-    for m in BASE64.finditer(layer.text):
-        body = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except binascii.Error:
-            continue
-        start, end = layer.part(m.start(), m.end())
-        text = _readable(data)
-        if text is None:
-            for text in _unpacked(data) if _packed(data[:6]) else ():
-                yield Layer(text, np.full(len(text), start), np.full(len(text), end))
-            continue
-        # byte i of the data comes from characters 4 * (i // 3) + (i % 3) and the next one
-        size = np.array([len(c.encode("utf-8")) for c in text])
-        first = np.cumsum(size) - size
-        last = first + size - 1
-        here = m.start() + 4 * (first // 3) + first % 3
-        there = m.start() + 4 * (last // 3) + last % 3 + 1
-        yield Layer(text, layer.starts[here], layer.ends[there])
+    """What the base64 runs of a layer hold: texts, or the content of compressed bytes.
+
+    A run is read from each of its first four characters, as a path or a key before it
+    may be made of the same characters.
+    """
+    for run, at in _runs(layer.text):
+        body = run.rstrip("=").replace("-", "+").replace("_", "/")
+        start, end = layer.part(int(at[0]), int(at[-1]) + 1)
+        for skip in range(4):
+            part = body[skip:]
+            part = part[: len(part) - (len(part) % 4 == 1)]
+            if len(part) < 2:
+                continue
+            data = base64.b64decode(part + "=" * (-len(part) % 4))
+            yield from _inner(data, start, end)
+            for text, size in _readings(data):
+                if not _telling(text):
+                    continue
+                # byte i of the data comes from characters 4 * (i // 3) + (i % 3) and the next one
+                first = np.cumsum(size) - size
+                last = first + size - 1
+                here = at[skip + 4 * (first // 3) + first % 3]
+                there = at[skip + 4 * (last // 3) + last % 3 + 1]
+                yield Layer(text, layer.starts[here], layer.ends[there])
 
 
 def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -250,8 +300,7 @@ def spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     work = [Layer(text, place, place + 1)]
     while work:
         layer = work.pop()
-        plain = _unescaped(layer)
-        for new in [*([plain] if plain else []), *_decoded(layer)]:
+        for new in itertools.chain(_unescaped(layer), _decoded(layer)):
             # the same content elsewhere in the document has other spans, so its place counts too
             mark = hashlib.sha1(new.text.encode("utf-8", "surrogatepass"))
             mark.update(str(new.part(0, len(new.text)) if new.text else 0).encode())
