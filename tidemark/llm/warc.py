@@ -373,21 +373,44 @@ def _urn(column: str):
     return F.concat(F.lit("<urn:page:"), F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(">"))
 
 
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and digest of the payloads as they were read."""
+    for batch in batches:
+        payloads = [p.as_py() or b"" for p in batch.column("payload")]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("record_id"), pa.array([len(p) for p in payloads], pa.int64()),
+             pa.array([digest(p) for p in payloads], pa.string())],
+            names=["record_id", "payload_bytes", "payload_digest"],
+        )
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write the archives, read them back, and report each page's record from its headers."""
+    """Write the archives, read them back, and report each page's record.
+
+    Responses are decoded, and their size and digest are those of the bytes read; of
+    revisits, which hold no payload, only the headers are.  Each read pushes its record
+    type down, so neither decodes what the other wants.
+    """
     spark = pages.sparkSession
     register(spark)
     path = scratch_path(spark, "warc")
     as_records(pages).write.format("warc").mode("append").save(path)
-    columns = "record_id string, warc_type string, payload_digest string, refers_to string, payload_bytes long"
-    back = spark.read.format("warc").schema(columns).load(path).filter(F.col("warc_type").isin("response", "revisit"))
+
+    def back(columns: str, kind: str) -> DataFrame:
+        rows = spark.read.format("warc").schema(f"record_id string, warc_type string, {columns}").load(path)
+        return rows.filter(F.col("warc_type") == kind)
+
+    responses = back("payload binary", "response").select("record_id", "payload").mapInArrow(
+        _measured, "record_id string, payload_bytes long, payload_digest string")
+    revisits = back("payload_digest string, refers_to string, payload_bytes long", "revisit")
+    found = responses.withColumns({"warc_type": F.lit("response"), "refers_to": F.lit(None).cast("string")}).unionByName(revisits)
     kind = pages.schema["page_id"].dataType
 
     def number(column: str):
         text = F.regexp_extract(column, "^<urn:page:(.*)>$", 1)
         return F.when(text != "", text).cast(kind)
 
-    return back.select(
+    return found.select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
         number("refers_to").alias("refers_to"),
     )
