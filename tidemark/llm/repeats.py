@@ -19,8 +19,10 @@ need comparing.  Neighbouring windows with one anchor are a *run*: the bytes the
    a round reads once and writes anew.  The core, equal in a group, is one symbol that weighs
    its bytes.  A suffix whose common prefix with a neighbour has ``LENGTH`` bytes is a repeated
    window.
-4. Cores with more than ``CROWD`` classes (a phrase in very many different surroundings)
-   are not gathered: their windows are counted by an aggregate, which says the same.
+4. A core with more than ``CROWD`` classes (a phrase in very many different surroundings) is
+   split first: half a stretch of the bytes before or behind it joins the core, what
+   agrees then is a class again, and the parts are sorted like other cores or, where still
+   crowded, split again.
 
 Equality of runs and cores is that of 128 bits of hash (for runs, 64 of the anchor and 64
 of the whole), all else is compared by bytes.
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -51,8 +53,10 @@ from tidemark.session import stored
 LENGTH = 400
 GRAM = 200
 CROWD = 4096
-STRETCH = 32
+STRETCH = 32  # a power of two
 COLLECTION = 2048  # members of one suffix order, but for the rest of a core's classes
+TASK = 4 * COLLECTION  # members that a task sorts, on average
+MOST_TASKS = 1 << 15
 SLICE = 1 << 20  # bytes of a text hashed at a time
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _PLACE = np.uint64(0xFFFFFF)
@@ -326,36 +330,66 @@ def repeats(
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row_hash") == F.col("_hash"))
     wanted = rows.join(keyed, same).select("doc_id", "row_hash", "text", "runs")
     cut = stored(_cut_out(wanted, length, stretch), "stretches")
+    return whole.unionByName(_among(cut, length, stretch, crowd))
 
+
+def _among(cut: DataFrame, length: int, stretch: int, crowd: int) -> DataFrame:
+    """Repeated intervals among stretches of at most ``stretch`` windows."""
     core, alike = ["c1", "c2"], ["c1", "c2", "before", "behind"]
     kinds = stored(
         cut.groupBy(*alike).agg(
             F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "row_hash", "first", "number")).alias("run")
         ), "stretch-classes"
     )
-    agreeing = cut.join(kinds.filter("copies > 1").select(*alike), alike).select(
+    found = cut.join(kinds.filter("copies > 1").select(*alike), alike).select(
         "doc_id", "row_hash", F.col("first").alias("start"), (F.col("first") + F.col("number") + (length - 1)).alias("end")
     )
-    groups = kinds.groupBy(*core).agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    groups = splittable_groups(kinds, *core).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(*core, "k")
     varied = stored(kinds.join(groups, core).select(*alike, "k", "run.*"), "varied-stretches")
-    gathered = varied.filter(F.col("k") <= crowd).drop("k", "number")
-    sorted_runs = _sorted_collections(gathered.repartition(*core).sortWithinPartitions(*core), length, stretch)
-    return whole.unionByName(agreeing).unionByName(sorted_runs).unionByName(
-        _counted(varied.filter(F.col("k") > crowd), length, stretch)
-    )
+    gathered, crowded = varied.filter(F.col("k") <= crowd).drop("k"), varied.filter(F.col("k") > crowd).drop("k")
+    n_gathered = gathered.count()
+    if n_gathered:
+        # a stated number of tasks: by bytes the planner would put most of this dear, small input into one
+        tasks = min(-(-n_gathered // TASK), MOST_TASKS)
+        parts = gathered.drop("number").repartition(tasks, *core).sortWithinPartitions(*core)
+        found = found.unionByName(_sorted_collections(parts, length, stretch))
+    if crowded.isEmpty():
+        return found
+    return found.unionByName(_among(stored(_halved(crowded, stretch), "half-stretches"), length, stretch // 2, crowd))
+
+
+def _halved(crowded: DataFrame, stretch: int) -> DataFrame:
+    """The same windows under cores that are longer by half a stretch, before or behind.
+
+    Of the ``stretch - 1`` bytes that a window has around its core, at least half a
+    stretch lie before it or else at least half a stretch behind it, so that many
+    neighbouring bytes become part of the core and a crowded core falls apart by them.
+    """
+    half = stretch // 2
+    n_before, n_behind = F.length("before"), F.length("behind")
 
+    def grown(side: str, near: Column) -> list[Column]:
+        return [F.xxhash64(name, other, F.lit(side + name), near).alias(name) for name, other in (("c1", "c2"), ("c2", "c1"))]
 
-def _counted(crowded: DataFrame, length: int, stretch: int) -> DataFrame:
-    """Repeated windows of crowded stretches, by counting: a window is its core and what it has on either side."""
-    i = F.col("i")
-    windows = crowded.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("number") - 1)).alias("i")).select(
-        "doc_id", "row_hash", "c1", "c2", (F.col("first") + i).alias("start"),
-        F.expr("substring(before, CAST(i + 1 AS INT))").alias("left"),
-        F.expr(f"substring(behind, 1, CAST({stretch - 1} - length(before) + i AS INT))").alias("right"),
+    def part(value: Column, start, size) -> Column:
+        return F.substring(value, start, size)
+
+    # windows with at least half a stretch before the core
+    front = crowded.filter(n_before >= half).select(
+        "doc_id", "row_hash", *grown("before", part(F.col("before"), n_before - half + 1, F.lit(half))), "first",
+        F.least("number", (n_before - half + 1).cast("long")).alias("number"),
+        part(F.col("before"), F.lit(1), n_before - half).alias("before"),
+        part(F.col("behind"), F.lit(1), F.lit(half - 1)).alias("behind"),
+    )
+    # the others: fewer before it, so at least half a stretch behind it
+    skipped = F.greatest(n_before - (half - 1), F.lit(0))
+    rear = crowded.filter(n_behind >= half).select(
+        "doc_id", "row_hash", *grown("behind", part(F.col("behind"), F.lit(1), F.lit(half))),
+        (F.col("first") + skipped).alias("first"), (F.col("number") - skipped).alias("number"),
+        part(F.col("before"), skipped + 1, n_before).alias("before"),
+        part(F.col("behind"), F.lit(half + 1), n_behind).alias("behind"),
     )
-    key = ["c1", "c2", "left", "right"]
-    twice = windows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
-    return windows.join(twice, key).select("doc_id", "row_hash", "start", (F.col("start") + length).alias("end"))
+    return front.unionByName(rear).filter("number > 0")
 
 
 def _removal(intervals: list[dict], data: bytes) -> tuple[int, int, str]:
