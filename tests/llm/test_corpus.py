@@ -298,7 +298,7 @@ def slow_removal(texts, length):
         yield bytes(gone)
 
 
-@pytest.mark.parametrize("crowd", [1, 4096])
+@pytest.mark.parametrize("crowd", [1, 3, 4096])
 def test_repeats_by_brute_force(spark, crowd):
     source = random.Random(5)
     word = lambda n: "".join(source.choice("abé ") for _ in range(n))
@@ -338,17 +338,54 @@ def test_log_bilinear_probabilities_add_up():
 
 # --- mixing
 
+def words_in(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def slow_targets(rows, weights=(5, 2, 1), share=1.5, most=2):
+    """Size and target of each source: shares by weight, the excess over a limit given to the others, until none is left."""
+    size = Counter()
+    for r in rows:
+        size[r.source] += words_in(r.text)
+    order = sorted(size, key=lambda s: (s is None, s))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    full = set()
+    while True:
+        budget = share * sum(size.values()) - sum(most * size[s] for s in full)
+        rest = [s for s in order if s not in full]
+        level = {s: budget * weight[s] / sum(weight[x] for x in rest) for s in rest}
+        above = {s for s in rest if level[s] > most * size[s]}
+        if not above:
+            return {s: (size[s], most * size[s] if s in full else level[s]) for s in order}
+        full |= above
+
+
 def test_mix_meets_targets_and_repeats(spark):
     documents = read(spark, "documents")
     first = {r.doc_id: r for r in mixing.mix(documents).collect()}
     again = {r.doc_id: r for r in mixing.mix(documents.repartition(7)).collect()}
     assert first == again
+    assert all(r.taken <= 2 * r.size for r in first.values())
+    expected = slow_targets(documents.collect())
+    for r in documents.collect():
+        row = first[r.doc_id]
+        assert (row.size, row.source_size) == (words_in(r.text), expected[r.source][0])
+        assert row.target == pytest.approx(expected[r.source][1], rel=1e-9)
+    longest, taken = Counter(), Counter()
+    for r in documents.collect():
+        taken[r.source] += first[r.doc_id].taken
+        longest[r.source] = max(longest[r.source], first[r.doc_id].size)
+    assert all(abs(taken[s] - target) <= longest[s] for s, (_, target) in expected.items())
+
+
+def test_mix_settles_large_documents_by_small_ones(spark):
+    rows = [(i, "w " * (1 + i % 400), "a" if i < 800 else "b") for i in range(1600)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     by_target = Counter()
-    for r in first.values():
-        by_target[(r.target, r.source_size)] += r.taken
-        assert r.taken <= 2 * r.size
-    longest = max(r.size for r in first.values())
-    assert all(abs(taken - target) <= longest for (target, _), taken in by_target.items() if list(by_target).count((target, _)) == 1)
+    for r in found:
+        by_target[r.target] += r.taken
+    # far below the largest document (400 words)
+    assert len(by_target) == 2 and all(abs(taken - target) <= 40 for target, taken in by_target.items())
 
 
 def test_mix_on_odd_rows(spark, odd, empty):

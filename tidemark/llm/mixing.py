@@ -6,8 +6,9 @@ rounded dependently: two fractional documents exchange probability mass, counted
 words, in a random direction whose odds keep both expectations, until one of them
 is 0 or 1; the other goes on.  A block of documents is folded this way into at most
 one document that is still fractional, and these residuals are combined by the same
-fold over blocks of blocks: a reduction tree.  The words taken from a source then miss
-its target by less than one document.
+fold over blocks of blocks: a reduction tree.  A block is folded by falling size, so that
+large documents are settled by small ones and what stays fractional is mostly small.
+The words taken from a source miss its target by less than the last such document.
 
 A hot source is as many blocks as it has documents for, so no task sees more than a
 block of it.  Rows that agree in all columns are pre-aggregated to one unit with a
@@ -134,7 +135,7 @@ def rounded(documents: DataFrame, block: int = BLOCK, **rules) -> DataFrame:
     state = joined.select(
         "source", F.pmod(key, blocks).alias("block"),
         F.struct(
-            key.alias("key"), "doc_id", "row_hash", "size", "n", "source_size", "target",
+            (-F.col("size")).alias("falling"), key.alias("key"), "doc_id", "row_hash", "size", "n", "source_size", "target",
             (F.col("n") * whole + sure).alias("base"),
             F.when((F.col("size") > 0) & (part > NEAR), part * F.col("size")).otherwise(0.0).alias("mass"),
         ).alias("item"),
@@ -168,7 +169,7 @@ def rounded(documents: DataFrame, block: int = BLOCK, **rules) -> DataFrame:
         )
         n_blocks = -(-n_blocks // block)
         level += 1
-    return done.select("source", "item.*", (F.col("item.base") + F.col("one")).alias("total")).drop("mass", "base", "key")
+    return done.select("source", "item.*", (F.col("item.base") + F.col("one")).alias("total")).drop("mass", "base", "falling", "key")
 
 
 def mix(documents: DataFrame, **rules) -> DataFrame:
