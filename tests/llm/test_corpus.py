@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -92,6 +93,52 @@ def test_toxicity_finds_held_out_rows(spark):
     assert sum(r.predicted and not r.toxic for r in rows) <= 0.02 * len(rows)
 
 
+def slow_ratio(taught, before, word):
+    """log P_toxic - log P_ordinary of a word, from sets of (word before, word) by document."""
+    seen = [Counter(pair for pairs, toxic in taught if toxic == c for pair in pairs) for c in (1, 0)]
+
+    def shares(name):
+        """Of every word (or stem): continuation count by class; with their sums."""
+        by_class = [Counter(name(w) for _, w in counts) for counts in seen]
+        capped = {k: min(by_class[0][k] + by_class[1][k], 3) for k in by_class[0] | by_class[1]}
+        return by_class, capped, sum(capped.values())
+
+    stems, words, logs = shares(lambda w: w[:5]), shares(lambda w: w), []
+    of_pair = {p: min(seen[0][p] + seen[1][p], 3) for p in seen[0] | seen[1]}
+    after = {p: n for p, n in of_pair.items() if p[0] == before}
+    for c in (0, 1):
+        total, lean = max(len(seen[c]), 1), 1.0
+        for (by_class, capped, all_capped), key in ((stems, word[:5]), (words, word)):
+            share = capped.get(key, 0.5) / all_capped
+            p = max(by_class[c][key] - 0.75, 0) / total + 0.75 * (len(by_class[c]) + 1) / total * share * lean
+            lean = p / share
+        share = after.get((before, word), 0.5) / max(sum(after.values()), 1)
+        own = {p: n for p, n in seen[c].items() if p[0] == before}
+        n = sum(own.values())
+        p = max(own.get((before, word), 0) - 0.75, 0) / n + 0.75 * len(own) / n * share * lean if n else share * lean
+        logs.append(np.log(p))
+    return logs[0] - logs[1]
+
+
+def test_toxicity_ratios_by_a_slow_model(spark):
+    source = random.Random(4)
+    bits = ["vile", "vilest,", "You", "are", "kind", "kindly", "(a)", "the", "end.", "Rare1", "rare2"]
+    rows = [(i, " ".join(source.choices(bits[i % 2 : len(bits) - i % 3], k=9)) + f" only{i}", i % 2) for i in range(60)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(documents, documents)
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4))
+    split = lambda text: [w.strip(toxicity.EDGES).lower() for w in text.split()]
+    taught = []
+    for r in documents.filter(fold != 0).collect():
+        words = split(r.text)
+        taught.append((set(zip([None, *words], words, strict=False)), r.toxic))
+    for text in (rows[0][1], rows[1][1], "the vilely kind never seen vile", "only3 Rare1 rare2 only3"):
+        words = split(text)
+        _, before, word, stem = toxicity._expressions(pa.array([text]))
+        expected = [slow_ratio(taught, a, w) for a, w in zip([None, *words], words, strict=False)]
+        assert np.allclose(model.ratios(before, word, stem), expected, atol=1e-4)
+
+
 def test_toxicity_on_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (2, 1), (2, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)

@@ -5,8 +5,10 @@ absolute discounting::
 
     P(w | h)  <-  P(w)  <-  P(stem(w))
 
-The discounted mass of each level is spread by backoff counts that both classes
-share, tilted by how the class leans on the level below.  Shared counts are pooled
+Pairs are counted by documents.  Below them all counts are continuation counts: a word
+counts once for every distinct word that it follows in the class, a stem once for every
+distinct pair that it ends.  The discounted mass of each level is spread by backoff counts
+that both classes share, tilted by how the class leans on the level below.  Shared counts are pooled
 and stop at ``RARE`` (as n1, n2, n3+ do in modified Kneser-Ney), so an expression that
 neither class has seen often weighs nearly the same in both and hardly moves the
 score, while a frequent one rests on its counts by class; ``stem``, the first
@@ -17,8 +19,9 @@ words and over its strong expressions (ratio above ``STRONG``), through a logist
 out of the counts.
 
 Fitting uses at most ``TRAIN_DOCS`` labelled rows per class (those with the smallest
-hash of their id) and keeps at most ``ENTRIES`` expressions per table, so the model
-that tasks receive has a fixed bound.  Class shares are counted over all labels.
+hash of their id) and keeps at most ``ENTRIES`` expressions per table, pairs by how far
+their classes differ and all else by its greater count, so the model that tasks receive
+has a fixed bound.  Class shares are counted over all labels.
 
 Defined results: null text is empty text; an empty text scores the share of toxic
 rows; a null id counts as the empty id text; repeated labels of an id count as
@@ -104,9 +107,9 @@ class Table:
         return self.values[lookup(self.keys, wanted)]
 
 
-def _table(df: DataFrame, key: str, values: list[str]) -> Table:
-    """The ``ENTRIES`` commonest expressions of an aggregate, on the driver."""
-    rows = df.orderBy(F.desc(F.greatest("t", "o")), key).limit(ENTRIES).select(key, *values).toPandas()
+def _table(df: DataFrame, key: str, values: list[str], worth: Column) -> Table:
+    """The ``ENTRIES`` expressions of greatest worth of an aggregate, on the driver."""
+    rows = df.orderBy(worth.desc(), key).limit(ENTRIES).select(key, *values).toPandas()
     keys = rows[key].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     filled = np.vstack([rows[values].to_numpy(np.float32)[order], np.zeros((1, len(values)), np.float32)])
@@ -116,10 +119,10 @@ def _table(df: DataFrame, key: str, values: list[str]) -> Table:
 @dataclass
 class Model:
     pairs: Table  # (word before, word): t, o
-    words: Table  # word: t, o
-    left: Table  # word before: tokens t, o, types t, o, capped counts of its pairs
-    stems: Table  # stem: t, o
-    tokens: np.ndarray  # by class
+    words: Table  # word: continuation counts t, o
+    left: Table  # word before: counts of its pairs t, o, distinct pairs t, o, capped counts of its pairs
+    stems: Table  # stem: continuation counts t, o
+    tokens: np.ndarray  # distinct pairs by class
     word_types: np.ndarray
     stem_types: np.ndarray
     rare: np.ndarray  # sums of capped counts: words, stems
@@ -220,17 +223,19 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     types = [F.count_if(F.col("t") > 0).alias("tt"), F.count_if(F.col("o") > 0).alias("oo")]
     pooled = F.col("t") + F.col("o")
     capped = F.sum(F.least(pooled, F.lit(RARE)))
-    words = pairs.groupBy("word").agg(*both)
-    stems = pairs.groupBy("stem").agg(*both)
+    common = F.greatest("t", "o")
+    continued = [F.count_if(F.col(c) > 0).alias(c) for c in ("t", "o")]
+    words = pairs.groupBy("word").agg(*continued)
+    stems = pairs.groupBy("stem").agg(*continued)
     left = pairs.groupBy("before").agg(*both, *types, capped.alias("capped"))
     totals = words.agg(F.sum("t"), F.sum("o"), *types, capped).first()
     stem_totals = stems.agg(*types, capped).first()
     numbers = [float(x or 0) for x in (*totals, *stem_totals)]
     model = Model(
-        _table(pairs.filter(pooled > 1), "pair", ["t", "o"]),
-        _table(words.filter(pooled > 1), "word", ["t", "o"]),
-        _table(left.filter(pooled > 1), "before", ["t", "o", "tt", "oo", "capped"]),
-        _table(stems, "stem", ["t", "o"]),
+        _table(pairs, "pair", ["t", "o"], F.abs(F.col("t") - F.col("o"))),
+        _table(words, "word", ["t", "o"], common),
+        _table(left, "before", ["t", "o", "tt", "oo", "capped"], common),
+        _table(stems, "stem", ["t", "o"], common),
         np.array(numbers[:2]), np.array(numbers[2:4]), np.array(numbers[5:7]),
         np.maximum([numbers[4], numbers[7]], 1.0), prior,
         np.array([np.log(prior / (1 - prior)), 0.0, 0.0, 0.0]),
