@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import math
 import random
 import re
 import zlib
@@ -369,18 +370,72 @@ def test_repeats_report_on_odd_rows(spark, odd, empty):
 
 # --- language model
 
-def test_log_bilinear_scores(spark, odd, empty):
-    rows = logbilinear.score(read(spark, "documents")).toPandas()
-    assert (rows["score"] < 0).all() and rows["score"].sum() > rows["base_score"].sum()
-    assert len(logbilinear.score(odd).collect()) == odd.count() and logbilinear.score(empty).count() == 0
+def slow_base(rows):
+    """held_out, n_tokens, n_known, train_tokens, base_score of each row, token by token."""
+    held = [zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 7 == 2 for r in rows]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tokens = [[*re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate(lower)), ""] for r in rows]
+    count = Counter(w for words, out in zip(tokens, held, strict=True) if not out for w in words)
+    total, whole = sum(count.values()), sum(count.values()) + len(count) + 1
+    return [
+        (out, len(words), sum(count[w] > 0 for w in words), total,
+         sum(math.log10((count[w] + 1) / whole) for w in words))
+        for words, out in zip(tokens, held, strict=True)
+    ]
 
 
-def test_log_bilinear_probabilities_add_up():
-    code = np.array([(3 * (logbilinear.CLASSES + 1) + 5) * logbilinear.CLASSES + k for k in (1, 2, 9)])
-    table = logbilinear.train(code, np.array([50, 20, 5]), steps=60).table()
-    assert np.allclose((10.0 ** table.astype(float)).sum(axis=1), 1, atol=1e-3)
-    row = table[3 * (logbilinear.CLASSES + 1) + 5]
-    assert row[1] > row[2] > row[9] > row[50]
+def test_log_bilinear_counts_and_held_out_likelihood(spark, odd, empty):
+    documents = read(spark, "documents")
+    found = logbilinear.score(documents).toPandas()
+    rows = documents.collect()
+    expected = dict(zip([r.doc_id for r in rows], slow_base(rows), strict=True))
+    for r in found.itertuples():
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == expected[r.doc_id][:4]
+        assert r.base_score == pytest.approx(expected[r.doc_id][4], rel=1e-9)
+    held = found[found["held_out"]]
+    assert held["score"].sum() > 0.98 * held["base_score"].sum()
+    assert (found["score"] < 0).all() and logbilinear.score(empty).count() == 0
+    strange = [tuple(r)[1:] for r in logbilinear.score(odd).collect()]
+    expected = slow_base(odd.collect())
+    assert sorted(r[:4] for r in strange) == sorted(r[:4] for r in expected)
+    assert sorted(r[4] for r in strange) == pytest.approx(sorted(r[4] for r in expected))
+
+
+def test_log_bilinear_probabilities_add_up_and_follow_context(spark):
+    texts = ["red car blue sky", "red car", "blue sky red car"] * 40 + [f"odd{i}" for i in range(30)]
+    documents = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    known = logbilinear.vocabulary(logbilinear.count_words(documents))
+    assert known.total == sum(len(t.split()) + 1 for t in texts) and known.size == math.isqrt(known.total)
+    model = logbilinear.starting(known)
+    for _ in range(40):
+        model = logbilinear.train_round(documents, model, 0.5)
+    names = known.words.to_pylist()
+    red, car, sky = (names.index(w) for w in ("red", "car", "sky"))
+    start = known.size + logbilinear.ENDINGS
+    token = np.arange(start)  # every word with vectors, then every ending class
+    def after(place):
+        return 10 ** model.log_probabilities(token, np.full(start, start), np.full(start, place))
+    assert after(red).sum() == pytest.approx(1, abs=1e-3) and after(start).sum() == pytest.approx(1, abs=1e-3)
+    assert after(red)[car] > 0.5 > 0.1 > after(red)[sky]
+
+
+def test_log_bilinear_moves_are_weighted_by_use(spark):
+    """Two tasks with the same texts move the vectors as one of them does; order of tasks does not matter."""
+    rows = [(i, "some words that come again and again") for i in range(50)]
+    once = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    twice = once.union(once)
+    assert twice.rdd.getNumPartitions() == 2
+    known = logbilinear.vocabulary(logbilinear.count_words(once))
+    model = logbilinear.starting(known)
+    one, two = (logbilinear.train_round(d, model, 0.25).values for d in (once, twice))
+    assert np.allclose(one, two, atol=1e-5) and not np.allclose(one, model.values, atol=1e-2)
+
+
+def test_log_bilinear_vectors_grow_with_the_corpus(spark):
+    documents = read(spark, "documents")
+    whole = logbilinear.vocabulary(logbilinear.count_words(documents))
+    part = logbilinear.vocabulary(logbilinear.count_words(documents.filter("doc_id % 8 = 0")))
+    assert part.size == math.isqrt(part.total) < whole.size == math.isqrt(whole.total)
 
 
 # --- mixing

@@ -1,21 +1,26 @@
 """Log-probabilities of texts under a log-bilinear neural language model.
 
-Tokens are words and one end per text.  The model predicts the *class* of a token
-from the classes of the two before it: the commonest words are a class each, all other
-words fall into classes by their ending.  A context is the sum of one vector per
-place, a class has a target vector and a bias, and their product, normalised over
-all classes, is the class's probability.  Within an ending class a word has its
-smoothed share (c + 1) / (N_class + V_class + 1), so token probabilities add up to 1
-over the known words and one unknown word per class.
-
-Training is noise-contrastive: the vectors learn to tell the contexts and classes
-counted in the corpus from classes drawn from the unigram distribution.  Spark counts class
-trigrams over *all* training texts (at most ``CLASSES`` cubed rows, however large the
-corpus), and numpy takes the expectation of the objective over these counts and the
-noise exactly, in batched matrix products, instead of drawing samples.
-
-Word counts are exact and distributed.  Tasks get the ``HOT`` commonest words; the
-tokens outside it are joined with the count table by word.
+Tokens are words and one end per text.  The commonest words have vectors of their own,
+both as predicted words and as context; their number is the square root of the training
+tokens, so it grows with the corpus.  All other words fall into classes by their ending.
+The model is factored: words with vectors lie in bands of equal size by rank, and a token's
+probability is that of its band or ending class, times that of the word inside it.
+
+A context is the sum of one vector per place (the two tokens before), every band, ending
+class and word has a target vector and a bias, and their products, normalised over all
+bands and classes and over the words of a band, are the probabilities.  Inside an ending
+class a word has its smoothed share (c + 1) / (N_class + V_class + 1), so probabilities
+add up to 1 over the known words and one unknown word per ending class.
+
+Training is noise-contrastive, over all training texts: the vectors learn to tell the tokens
+that follow a context from tokens drawn from the unigram distribution.  The expectation over
+the noise is taken exactly, in batched matrix products, instead of by samples.  In each of
+``ROUNDS`` rounds every Spark task goes over its texts from the same vectors and returns what
+it changed; Spark adds that up by vector, weighted by the tokens that used the vector in each
+task.  Only the vectors, of the order of the square root of the corpus, come to the driver.
+
+Word counts are exact and distributed.  Tasks get the ``HOT`` commonest words (more, if more
+have vectors); the tokens outside them are joined with the count table by word.
 
 Defined results: null text is empty text, which has one token, the end; a null id
 counts as the empty id text; without training texts every count is 0; repeated rows
@@ -24,6 +29,7 @@ come out repeated; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,20 +46,19 @@ from tidemark.llm.words import pieces, row_sums, split
 from tidemark.session import stored
 
 END = ""  # no word is empty
-COMMON = 64
 ENDINGS = 24
-CLASSES = COMMON + ENDINGS
-START = CLASSES  # context class before the first word
 HOT = 1 << 17
 WIDTH = 24
 NOISE = 10.0
-STEPS = 150
+ROUNDS = 2
+RATES = (0.25, 0.1)
+BATCH = 8192
 
 
 def ending_class(words: pa.Array) -> np.ndarray:
-    """The class of words outside the common ones, by their last two letters."""
+    """The ending class of each word, by its last two letters."""
     tails = pc.utf8_slice_codeunits(pc.utf8_rtrim(words, characters=".,;:!?"), -2, None).dictionary_encode()
-    codes = np.array([COMMON + zlib.crc32(t.encode()) % ENDINGS for t in tails.dictionary.to_pylist()], np.int64)
+    codes = np.array([zlib.crc32(t.encode()) % ENDINGS for t in tails.dictionary.to_pylist()], np.int64)
     return codes[tails.indices.to_numpy(zero_copy_only=False)] if len(words) else np.empty(0, np.int64)
 
 
@@ -77,165 +82,299 @@ def count_words(documents: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """What tasks know of the counts: the commonest words, and totals of the ending classes."""
+    """What tasks know of the counts: the commonest words, and totals of the ending classes.
 
-    words: pa.Array  # the HOT commonest, the first COMMON with the end are classes of their own
+    Tokens are numbered as the model sees them: words with vectors by rank, then ending classes.
+    """
+
+    words: pa.Array  # the end first, then by falling count
     counts: np.ndarray
-    classes: np.ndarray
+    endings: np.ndarray
+    size: int  # words with vectors: the first ones
     total: int
     distinct: int
-    class_totals: np.ndarray
-    class_distinct: np.ndarray
+    tail_totals: np.ndarray  # of the words without vectors, by ending class
+    tail_distinct: np.ndarray
+
+    @property
+    def band(self) -> int:
+        """Words in a band."""
+        return max(1, math.isqrt(self.size))
+
+    @property
+    def bands(self) -> int:
+        return -(-self.size // self.band)
 
     def places(self, words: pa.Array) -> np.ndarray:
         """Index of each word among the known ones, -1 where it is not."""
         found = pc.index_in(words.cast(pa.string()), value_set=self.words)
         return pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
 
+    def outer(self, token: np.ndarray) -> np.ndarray:
+        """Band of words with vectors, after the bands the ending classes."""
+        return np.where(token < self.size, token // self.band, token - self.size + self.bands)
+
+    def noise(self) -> tuple[np.ndarray, np.ndarray]:
+        """Unigram shares of bands and classes, and of words inside their bands."""
+        counts = self.counts[: self.size] + 1.0
+        starts = np.arange(0, self.size, self.band)
+        totals = np.add.reduceat(counts, starts) if self.size else np.empty(0)
+        whole = np.concatenate((totals, self.tail_totals + self.tail_distinct + 1.0))
+        inside = counts / np.repeat(totals, self.band)[: self.size]
+        return (whole / whole.sum()).astype(np.float32), inside.astype(np.float32)
+
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    # the end first, then by count: it always has a class
-    hot = counts.orderBy(F.col("word") != END, F.desc("n"), "word").limit(HOT).toPandas()
-    words = hot["word"].tolist()
+    total = int(total or 0)
+    size = math.isqrt(total)
+    # the end first, then by count: it always has a vector
+    hot = counts.orderBy(F.col("word") != END, F.desc("n"), "word").limit(max(HOT, size)).toPandas()
     n = hot["n"].to_numpy(np.int64)
-    classes = hot["ending"].to_numpy(np.int64).copy()
-    classes[:COMMON] = np.arange(len(classes[:COMMON]))
-    totals, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    endings = hot["ending"].to_numpy(np.int64)
+    size = min(size, len(n))
+    totals, kinds = np.zeros(ENDINGS), np.zeros(ENDINGS)
     for row in counts.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         totals[row["ending"]], kinds[row["ending"]] = row["n"], row["v"]  # one row per ending class
-    common = slice(0, min(COMMON, len(n)))
-    np.subtract.at(totals, hot["ending"].to_numpy(np.int64)[common], n[common])
-    np.subtract.at(kinds, hot["ending"].to_numpy(np.int64)[common], 1)
-    totals[: len(n[common])] = n[common]
-    return Vocabulary(pa.array(words, pa.string()), n, classes, int(total or 0), int(distinct), totals, kinds)
+    np.subtract.at(totals, endings[:size], n[:size])
+    np.subtract.at(kinds, endings[:size], 1)
+    return Vocabulary(pa.array(hot["word"].tolist(), pa.string()), n, endings, size, total, int(distinct), totals, kinds)
 
 
-def _sequence(words, known: Vocabulary):
-    """Per token (words and ends, in order): row, word code (-1: end), class, context code."""
-    vocabulary_classes = ending_class(words.vocabulary)
+@dataclass
+class Tokens:
+    """Words and ends of a piece in order."""
+
+    row: np.ndarray
+    code: np.ndarray  # into the piece's words, -1 for the end
+    place: np.ndarray  # among the known words, -1 where absent
+    token: np.ndarray  # as the model numbers it
+    two: np.ndarray  # two places before, one place before
+    one: np.ndarray
+
+
+def _tokens(words, known: Vocabulary) -> Tokens:
+    start = known.size + ENDINGS
     place = known.places(words.vocabulary)
-    vocabulary_classes[place >= 0] = known.classes[place[place >= 0]]
+    numbers = np.where((place >= 0) & (place < known.size), place, known.size + ending_class(words.vocabulary))
     counts = words.counts
     ends = np.cumsum(counts + 1) - 1
-    code = np.full(len(words.codes) + words.n_rows, -1, np.int64)
-    inside = np.ones(len(code), bool)
+    inside = np.ones(len(words.codes) + words.n_rows, bool)
     inside[ends] = False
+    code = np.full(len(inside), -1, np.int64)
     code[inside] = words.codes
-    row = np.repeat(np.arange(words.n_rows), counts + 1)
-    kind = np.zeros(len(code), np.int64)  # the end is class 0
-    kind[inside] = vocabulary_classes[words.codes]
-    one = np.concatenate(([START], kind[:-1]))
+    end_place = 0 if len(known.words) and known.words[0].as_py() == END else -1
+    at = np.full(len(inside), end_place, np.int64)
+    at[inside] = place[words.codes]
+    end_number = 0 if end_place == 0 and known.size else known.size + int(ending_class(pa.array([END]))[0])
+    token = np.full(len(inside), end_number, np.int64)
+    token[inside] = numbers[words.codes]
+    one = np.concatenate(([start], token))[:-1]
+    two = np.concatenate(([start, start], token))[:-2]
     first = ends - counts
-    one[first] = START
-    two = np.concatenate(([START, START], kind[:-2]))[: len(kind)]
-    two[first] = START
-    two[np.minimum(first + 1, len(kind) - 1)] = START
-    return row, code, kind, two * (CLASSES + 1) + one, place
+    one[first] = start
+    two[first] = start
+    two[np.minimum(first + 1, len(token) - 1)] = start  # second token of its text, or the first of the next
+    return Tokens(np.repeat(np.arange(words.n_rows), counts + 1), code, at, token, two, one)
 
 
-def class_trigrams(documents: DataFrame, known: Vocabulary) -> DataFrame:
-    """code (context * CLASSES + class), n over all texts."""
-    shipped = documents.sparkSession.sparkContext.broadcast(known)
+@dataclass
+class Model:
+    """Vectors in one matrix: contexts two places before, one place before, bands and classes, words.
+
+    The last column holds the biases of targets; of contexts it is 1 and 0, so a product adds the bias.
+    """
+
+    values: np.ndarray
+    known: Vocabulary
+
+    @property
+    def edges(self) -> tuple[int, int, int]:
+        """First rows of the contexts one place before, of bands and classes, and of words."""
+        places = self.known.size + ENDINGS + 1
+        return places, 2 * places, 2 * places + self.known.bands + ENDINGS
+
+    def contexts(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        return self.values[two] + self.values[self.edges[0] + one]
+
+    def targets(self) -> tuple[np.ndarray, np.ndarray]:
+        _, classes, words = self.edges
+        return self.values[classes:words], self.values[words:]
+
+    def log_probabilities(self, token: np.ndarray, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each token's band or class, times that of the word in its band."""
+        found = np.empty(len(token))
+        for at in range(0, len(token), BATCH):
+            part = slice(at, at + BATCH)
+            q, kind = self.contexts(two[part], one[part]), self.known.outer(token[part])
+            classes, words = self.targets()
+            logs = _picked(q @ classes.T, kind)
+            for first, rows in _by_band(kind, self.known):
+                inside = words[first : first + self.known.band]
+                logs[rows] += _picked(q[rows] @ inside.T, token[part][rows] - first)
+            found[part] = logs
+        return found / np.log(10)
+
+
+def _picked(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Normalised log-probability of the wanted output of each row."""
+    top = scores.max(axis=1)
+    whole = np.log(np.exp(scores - top[:, None]).sum(axis=1, dtype=np.float64))
+    return scores[np.arange(len(scores)), wanted].astype(np.float64) - top - whole
+
+
+def _by_band(kind: np.ndarray, known: Vocabulary) -> Iterator[tuple[int, np.ndarray]]:
+    """First word and rows of each band that occurs."""
+    order = np.argsort(kind, kind="stable")
+    sizes = np.bincount(kind, minlength=known.bands)[: known.bands]
+    ends = np.cumsum(sizes)
+    for band in np.flatnonzero(sizes):
+        yield band * known.band, order[ends[band] - sizes[band] : ends[band]]
+
+
+def starting(known: Vocabulary, seed: int = 8) -> Model:
+    """Small random vectors, and biases that give the unigram distribution."""
+    outer, inner = known.noise()
+    model = Model(np.empty((0, WIDTH + 1), np.float32), known)
+    one, classes, words = model.edges
+    values = np.random.default_rng(seed).normal(0, 0.1, (words + known.size, WIDTH + 1)).astype(np.float32)
+    values[:one, -1], values[one:classes, -1] = 1, 0
+    values[classes:words, -1], values[words:, -1] = np.log(outer), np.log(inner)
+    model.values = values
+    return model
+
+
+class Learner:
+    """Noise-contrastive steps over batches, with step sizes by the gradients seen (Adagrad)."""
+
+    def __init__(self, model: Model, rate: float):
+        self.model = Model(model.values.copy(), model.known)
+        self.rate = np.float32(rate)
+        self.seen = np.ones_like(model.values)
+        self.uses = np.zeros(len(model.values), np.int64)
+        outer, inner = model.known.noise()
+        self.outer, self.inner = np.float32(NOISE) * outer, np.float32(NOISE) * inner
+
+    def _move(self, rows, gradient: np.ndarray) -> None:
+        self.seen[rows] += gradient * gradient
+        self.model.values[rows] += self.rate * gradient / np.sqrt(self.seen[rows])
+
+    def _contexts(self, place: np.ndarray, gradient: np.ndarray) -> None:
+        order = np.argsort(place, kind="stable")
+        rows, first, n = np.unique(place[order], return_index=True, return_counts=True)
+        self.uses[rows] += n
+        self._move(rows, np.add.reduceat(gradient[order], first))
+
+    def step(self, token: np.ndarray, two: np.ndarray, one: np.ndarray) -> None:
+        known = self.model.known
+        edge_one, edge_classes, edge_words = self.model.edges
+        q, kind = self.model.contexts(two, one), known.outer(token)
+        classes, words = self.model.targets()
+        slope = _slopes(q, classes, self.outer, kind)
+        back = slope @ classes
+        moves = [(slice(edge_classes, edge_words), slope.T @ q)]
+        for first, rows in _by_band(kind, known):
+            last = min(first + known.band, known.size)
+            near = q[rows]
+            slope = _slopes(near, words[first:last], self.inner[first:last], token[rows] - first)
+            back[rows] += slope @ words[first:last]
+            moves.append((slice(edge_words + first, edge_words + last), slope.T @ near))
+            self.uses[edge_words + first : edge_words + last] += len(rows)
+        self.uses[edge_classes:edge_words] += len(token)
+        for rows, gradient in moves:
+            self._move(rows, gradient)
+        back[:, -1] = 0
+        self._contexts(two, back)
+        self._contexts(one + edge_one, back)
+
+
+def _slopes(q: np.ndarray, targets: np.ndarray, noise: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Slope of the objective by score: noise lowers every output, the token seen raises its own."""
+    data = 1 / (1 + np.exp(np.log(noise) - q @ targets.T))  # probability that an output is data, not noise
+    slope = data * -noise
+    at = np.arange(len(q))
+    slope[at, wanted] += 1 - data[at, wanted]
+    return slope
+
+
+NAMES = [f"v{i}" for i in range(WIDTH + 1)]
+
+
+def train_round(documents: DataFrame, model: Model, rate: float) -> Model:
+    """Every task learns from its texts; a vector moves by the mean of the moves, weighted by its uses."""
+    shipped = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shipped.value
+        learner = None
         for piece in pieces(batches):
-            if piece.num_rows:
-                _, _, kind, context, _ = _sequence(split(piece.column("text")), shipped.value)
-                code, n = np.unique(context * CLASSES + kind, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
-
-    return documents.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Model:
-    two: np.ndarray  # vectors of the class two places before, and one place before
-    one: np.ndarray
-    target: np.ndarray
-    bias: np.ndarray
-
-    def scores(self, contexts: np.ndarray) -> np.ndarray:
-        q = self.two[contexts // (CLASSES + 1)] + self.one[contexts % (CLASSES + 1)]
-        return q @ self.target.T + self.bias
-
-    def table(self) -> np.ndarray:
-        """Normalised log10 probabilities, contexts by classes, in batches of contexts."""
-        parts = []
-        for start in range(0, (CLASSES + 1) ** 2, 4096):
-            s = self.scores(np.arange(start, min(start + 4096, (CLASSES + 1) ** 2))).astype(np.float64)
-            top = s.max(axis=1, keepdims=True)
-            parts.append(s - top - np.log(np.exp(s - top).sum(axis=1, keepdims=True)))
-        return (np.concatenate(parts) / np.log(10)).astype(np.float32)
-
-
-def train(code: np.ndarray, n: np.ndarray, steps: int = STEPS, seed: int = 8) -> Model:
-    """Noise-contrastive estimation over class trigram counts, by Adam."""
-    contexts, row = np.unique(code // CLASSES, return_inverse=True)
-    counted = np.zeros((len(contexts), CLASSES), np.float32)
-    np.add.at(counted, (row, code % CLASSES), n)
-    unigram = counted.sum(axis=0) + 1.0
-    unigram = (unigram / unigram.sum()).astype(np.float32)
-    random = np.random.default_rng(seed)
-    p = [random.normal(0, 0.05, (CLASSES + 1, WIDTH)).astype(np.float32) for _ in range(2)]
-    p += [random.normal(0, 0.05, (CLASSES, WIDTH)).astype(np.float32), np.log(unigram)]
-    if not len(contexts):
-        return Model(*p)
-    mass = counted.sum(axis=1, keepdims=True)
-    noise = NOISE * mass * unigram  # expected noise classes per context
-    shift = np.log(NOISE * unigram)
-    scale = np.float32(1 / mass.sum())
-    two, one = contexts // (CLASSES + 1), contexts % (CLASSES + 1)
-    m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
-    for step in range(1, steps + 1):
-        q = p[0][two] + p[1][one]
-        data = 1 / (1 + np.exp(shift - (q @ p[2].T + p[3])))  # probability that a class is data, not noise
-        slope = (counted * (1 - data) - noise * data) * scale
-        back = slope @ p[2]
-        gradients = [np.zeros_like(p[0]), np.zeros_like(p[1]), slope.T @ q, slope.sum(axis=0)]
-        np.add.at(gradients[0], two, back)
-        np.add.at(gradients[1], one, back)
-        rate = 0.05 * min(1.0, 3 * (1 - step / (steps + 1)))
-        for i, g in enumerate(gradients):
-            m[i] = 0.9 * m[i] + 0.1 * g
-            v[i] = 0.99 * v[i] + 0.01 * g * g
-            p[i] = p[i] + rate * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.99**step)) + 1e-8)
-    return Model(*p)
-
-
-def _partial(documents: DataFrame, known: Vocabulary, model: Model) -> DataFrame:
+            if not piece.num_rows:
+                continue
+            learner = learner or Learner(model, rate)
+            t = _tokens(split(piece.column("text")), model.known)
+            order = np.random.default_rng(len(t.token)).permutation(len(t.token))  # batches across texts
+            for at in range(0, len(order), BATCH):
+                batch = order[at : at + BATCH]
+                learner.step(t.token[batch], t.two[batch], t.one[batch])
+        if learner is not None:
+            rows = np.flatnonzero(learner.uses)
+            n = learner.uses[rows]
+            moved = (learner.model.values[rows] - model.values[rows]) * n[:, None]
+            for at in range(0, len(rows), BATCH):
+                part = slice(at, at + BATCH)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[part]), pa.array(n[part]), *(pa.array(c) for c in moved[part].T.astype(np.float64))],
+                    names=["row", "n", *NAMES],
+                )
+
+    kinds = "row long, n long, " + ", ".join(f"{c} double" for c in NAMES)
+    moves = documents.select("text").mapInArrow(run, kinds).groupBy("row").agg(
+        *[(F.sum(c) / F.sum("n")).cast("float").alias(c) for c in NAMES]
+    ).toPandas()  # one row per vector
+    values = model.values.copy()
+    values[moves["row"].to_numpy()] += moves[NAMES].to_numpy(np.float32)
+    shipped.unpersist()
+    return Model(values, model.known)
+
+
+def train(documents: DataFrame, known: Vocabulary) -> Model:
+    model = starting(known)
+    for rate in RATES[:ROUNDS]:
+        model = train_round(documents, model, rate)
+    return model
+
+
+def _partial(documents: DataFrame, model: Model) -> DataFrame:
     """Per document what the hot words give, and its other words with their numbers."""
-    shipped = documents.sparkSession.sparkContext.broadcast((known, model))
+    shipped = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = shipped.value
-        table = model.table().ravel()
-        hot_log = np.log10(known.counts + 1.0)
+        model = shipped.value
+        known = model.known
+        hot_log = np.append(np.log10(known.counts + 1.0), 0.0)  # absent words add theirs after the join
+        share = np.log10(known.tail_totals + known.tail_distinct + 1)
         row_id = TaskContext.get().partitionId() << 33
         for piece in pieces(batches):
             if not piece.num_rows:
                 continue
             words = split(piece.column("text"))
-            row, code, kind, context, place = _sequence(words, known)
-            end_place = 0 if len(known.words) and known.words[0].as_py() == END else -1
-            at = np.where(code >= 0, place[code] if len(place) else -1, end_place)
-            hot = at >= 0
-            count_log = np.where(hot, hot_log[np.maximum(at, 0)] if len(hot_log) else 0.0, 0.0)
-            inside = kind >= COMMON
-            share = known.class_totals[kind] + known.class_distinct[kind] + 1
-            model_log = table[context * CLASSES + kind] + np.where(inside, count_log - np.log10(share), 0.0)
-            rest = ~hot & (code >= 0)
-            pair, n = np.unique(row[rest] * len(words.vocabulary) + code[rest], return_counts=True)
-            rare_row = pair // max(len(words.vocabulary), 1)
+            t = _tokens(words, known)
+            hot = t.place >= 0
+            count_log = hot_log[t.place]
+            tail = t.token >= known.size
+            model_log = model.log_probabilities(t.token, t.two, t.one)
+            model_log[tail] += count_log[tail] - share[t.token[tail] - known.size]
+            rest = ~hot & (t.code >= 0)
+            kinds = max(len(words.vocabulary), 1)
+            pair, n = np.unique(t.row[rest] * kinds + t.code[rest], return_counts=True)
             rare = pa.StructArray.from_arrays(
-                [words.vocabulary.take(pa.array(pair % max(len(words.vocabulary), 1))).cast(pa.string()), pa.array(n)],
-                names=["word", "n"],
+                [words.vocabulary.take(pa.array(pair % kinds)).cast(pa.string()), pa.array(n)], names=["word", "n"]
             )
-            splits = np.concatenate(([0], np.cumsum(np.bincount(rare_row, minlength=words.n_rows)))).astype(np.int32)
-            sums = [row_sums(x, row, words.n_rows) for x in (count_log, model_log)]
+            splits = np.concatenate(([0], np.cumsum(np.bincount(pair // kinds, minlength=words.n_rows)))).astype(np.int32)
+            sums = [row_sums(x, t.row, words.n_rows) for x in (count_log, model_log)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row_id, row_id + piece.num_rows)), piece.column("doc_id"), piece.column("held_out"),
-                 pa.array(words.counts + 1), pa.array(row_sums(hot, row, words.n_rows).astype(np.int64)),
+                 pa.array(words.counts + 1), pa.array(row_sums(hot, t.row, words.n_rows).astype(np.int64)),
                  pa.array(sums[0]), pa.array(sums[1]), pa.ListArray.from_arrays(pa.array(splits), rare)],
                 names=["row_id", "doc_id", "held_out", "n_tokens", "n_hot", "count_log", "model_log", "rare"],
             )
@@ -255,9 +394,7 @@ def score(documents: DataFrame) -> DataFrame:
     training = rows.filter("NOT held_out")
     counts = stored(count_words(training), "word-counts")
     known = vocabulary(counts)
-    trigrams = class_trigrams(training, known).toPandas()  # at most CLASSES * (CLASSES + 1)**2 rows
-    model = train(trigrams["code"].to_numpy(np.int64), trigrams["n"].to_numpy(np.int64))
-    partial = stored(_partial(rows, known, model), "scored")
+    partial = stored(_partial(rows, train(training, known)), "scored")
     rare = partial.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.word", "r.n")
     seen = counts.select("word", F.col("n").alias("c"))
     found = rare.join(seen, "word").groupBy("row_id").agg(
