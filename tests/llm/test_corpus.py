@@ -423,8 +423,7 @@ def test_log_bilinear_moves_are_weighted_by_use(spark):
     """Two tasks with the same texts move the vectors as one of them does; order of tasks does not matter."""
     rows = [(i, "some words that come again and again") for i in range(50)]
     once = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
-    twice = once.union(once)
-    assert twice.rdd.getNumPartitions() == 2
+    twice = once.union(once).repartition(2)
     known = logbilinear.vocabulary(logbilinear.count_words(once))
     model = logbilinear.starting(known)
     one, two = (logbilinear.train_round(d, model, 0.25).values for d in (once, twice))
