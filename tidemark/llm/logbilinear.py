@@ -14,7 +14,8 @@ add up to 1 over the known words and one unknown word per ending class.
 
 Training is noise-contrastive, over all training texts: the vectors learn to tell the tokens
 that follow a context from tokens drawn from the unigram distribution.  The expectation over
-the noise is taken exactly, in batched matrix products, instead of by samples.  In each of
+the noise is taken exactly, in batched matrix products over the distinct contexts of a piece
+of text, instead of by samples.  In each of
 ``ROUNDS`` rounds every Spark task goes over its texts from the same vectors and returns what
 it changed; Spark adds that up by vector, weighted by the tokens that used the vector in each
 task.  Only the vectors, of the order of the square root of the corpus, come to the driver.
@@ -52,7 +53,7 @@ WIDTH = 24
 NOISE = 10.0
 ROUNDS = 2
 RATES = (0.25, 0.1)
-BATCH = 8192
+BATCH = 2048  # contexts
 
 
 def ending_class(words: pa.Array) -> np.ndarray:
@@ -178,6 +179,40 @@ def _tokens(words, known: Vocabulary) -> Tokens:
     return Tokens(np.repeat(np.arange(words.n_rows), counts + 1), code, at, token, two, one)
 
 
+@dataclass
+class Grouped:
+    """Distinct contexts of a piece, and under each the distinct tokens that follow it."""
+
+    two: np.ndarray
+    one: np.ndarray
+    edges: np.ndarray  # of each context's tokens
+    token: np.ndarray
+    n: np.ndarray
+    of: np.ndarray  # for each token of the piece, its place among the distinct ones
+
+    def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, slice]]:
+        """Contexts (two, one); tokens after them: row of the context, token, and their slice."""
+        for at in range(0, len(self.two), BATCH):
+            part = slice(at, min(at + BATCH, len(self.two)))
+            inner = slice(self.edges[part.start], self.edges[part.stop])
+            row = np.repeat(np.arange(part.stop - part.start), np.diff(self.edges[part.start : part.stop + 1]))
+            yield self.two[part], self.one[part], row, self.token[inner], inner
+
+
+def grouped(token: np.ndarray, two: np.ndarray, one: np.ndarray, known: Vocabulary, mixed: bool = False) -> Grouped:
+    """Tokens grouped by context; contexts in a random order that is the same in every run, if ``mixed``."""
+    numbers = known.size + ENDINGS + 1
+    context, of = np.unique(two * numbers + one, return_inverse=True)
+    if mixed:
+        place = np.random.default_rng(len(token)).permutation(len(context))
+        shuffled = np.empty_like(context)
+        shuffled[place] = context
+        context, of = shuffled, place[of]
+    pair, of, n = np.unique(of * numbers + token, return_inverse=True, return_counts=True)
+    edges = np.searchsorted(pair, np.arange(len(context) + 1) * numbers)
+    return Grouped(context // numbers, context % numbers, edges, pair % numbers, n.astype(np.float32), of)
+
+
 @dataclass
 class Model:
     """Vectors in one matrix: contexts two places before, one place before, bands and classes, words.
@@ -202,34 +237,45 @@ class Model:
         return self.values[classes:words], self.values[words:]
 
     def log_probabilities(self, token: np.ndarray, two: np.ndarray, one: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each token's band or class, times that of the word in its band."""
-        found = np.empty(len(token))
-        for at in range(0, len(token), BATCH):
-            part = slice(at, at + BATCH)
-            q, kind = self.contexts(two[part], one[part]), self.known.outer(token[part])
-            classes, words = self.targets()
-            logs = _picked(q @ classes.T, kind)
-            for first, rows in _by_band(kind, self.known):
-                inside = words[first : first + self.known.band]
-                logs[rows] += _picked(q[rows] @ inside.T, token[part][rows] - first)
-            found[part] = logs
-        return found / np.log(10)
-
-
-def _picked(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Normalised log-probability of the wanted output of each row."""
-    top = scores.max(axis=1)
-    whole = np.log(np.exp(scores - top[:, None]).sum(axis=1, dtype=np.float64))
-    return scores[np.arange(len(scores)), wanted].astype(np.float64) - top - whole
-
-
-def _by_band(kind: np.ndarray, known: Vocabulary) -> Iterator[tuple[int, np.ndarray]]:
-    """First word and rows of each band that occurs."""
-    order = np.argsort(kind, kind="stable")
+        """log10 of the probability of each token's band or class, times that of the word in its band.
+
+        Every context is normalised once, and once more for each band that follows it.
+        """
+        group = grouped(token, two, one, self.known)
+        found = np.empty(len(group.token))
+        classes, words = self.targets()
+        for two_, one_, row, follows, inner in group.batches():
+            q, kind = self.contexts(two_, one_), self.known.outer(follows)
+            logs = _normalised(q @ classes.T)[row, kind].astype(np.float64)
+            for first, at, rows, pair in _by_band(row, kind, self.known):
+                inside = _normalised(q[rows] @ words[first : first + self.known.band].T)
+                logs[at] += inside[pair, follows[at] - first]
+            found[inner] = logs
+        return found[group.of] / np.log(10)
+
+
+def _normalised(scores: np.ndarray) -> np.ndarray:
+    """Log-probabilities of all outputs of each row; overwrites the scores."""
+    scores -= scores.max(axis=1, keepdims=True)
+    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    return scores
+
+
+def _by_band(
+    row: np.ndarray, kind: np.ndarray, known: Vocabulary
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each band that occurs: its first word, its tokens, their distinct contexts, and each token's one of them.
+
+    Tokens come by context, so those of a band do too.
+    """
+    order = np.argsort(kind.astype(np.int32), kind="stable")
     sizes = np.bincount(kind, minlength=known.bands)[: known.bands]
     ends = np.cumsum(sizes)
-    for band in np.flatnonzero(sizes):
-        yield band * known.band, order[ends[band] - sizes[band] : ends[band]]
+    for band in np.flatnonzero(sizes).tolist():
+        at = order[ends[band] - sizes[band] : ends[band]]
+        near = row[at]
+        new = np.diff(near, prepend=-1) > 0
+        yield band * known.band, at, near[new], np.cumsum(new) - 1
 
 
 def starting(known: Vocabulary, seed: int = 8) -> Model:
@@ -259,41 +305,57 @@ class Learner:
         self.seen[rows] += gradient * gradient
         self.model.values[rows] += self.rate * gradient / np.sqrt(self.seen[rows])
 
-    def _contexts(self, place: np.ndarray, gradient: np.ndarray) -> None:
+    def _contexts(self, place: np.ndarray, gradient: np.ndarray, mass: np.ndarray) -> None:
         order = np.argsort(place, kind="stable")
-        rows, first, n = np.unique(place[order], return_index=True, return_counts=True)
-        self.uses[rows] += n
+        ordered = place[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        rows = ordered[first]
+        self.uses[rows] += np.add.reduceat(mass[order], first).astype(np.int64)
         self._move(rows, np.add.reduceat(gradient[order], first))
 
-    def step(self, token: np.ndarray, two: np.ndarray, one: np.ndarray) -> None:
+    def step(self, two: np.ndarray, one: np.ndarray, row: np.ndarray, token: np.ndarray, n: np.ndarray) -> None:
+        """Learn from distinct contexts and the tokens after them, seen ``n`` times each."""
         known = self.model.known
         edge_one, edge_classes, edge_words = self.model.edges
         q, kind = self.model.contexts(two, one), known.outer(token)
         classes, words = self.model.targets()
-        slope = _slopes(q, classes, self.outer, kind)
+        mass = np.bincount(row, weights=n, minlength=len(q)).astype(np.float32)
+        slope = _slopes(q, mass, classes, self.outer, row, kind, n)
         back = slope @ classes
         moves = [(slice(edge_classes, edge_words), slope.T @ q)]
-        for first, rows in _by_band(kind, known):
+        self.uses[edge_classes:edge_words] += int(mass.sum())
+        for first, at, rows, pair in _by_band(row, kind, known):
             last = min(first + known.band, known.size)
-            near = q[rows]
-            slope = _slopes(near, words[first:last], self.inner[first:last], token[rows] - first)
-            back[rows] += slope @ words[first:last]
-            moves.append((slice(edge_words + first, edge_words + last), slope.T @ near))
-            self.uses[edge_words + first : edge_words + last] += len(rows)
-        self.uses[edge_classes:edge_words] += len(token)
+            near, inside, share = q[rows], words[first:last], np.bincount(pair, weights=n[at]).astype(np.float32)
+            slope = _slopes(near, share, inside, self.inner[first:last], pair, token[at] - first, n[at])
+            back[rows] += slope @ inside
+            moved = slice(edge_words + first, edge_words + last)
+            moves.append((moved, slope.T @ near))
+            self.uses[moved] += int(share.sum())
         for rows, gradient in moves:
             self._move(rows, gradient)
         back[:, -1] = 0
-        self._contexts(two, back)
-        self._contexts(one + edge_one, back)
+        self._contexts(two, back, mass)
+        self._contexts(one + edge_one, back, mass)
 
 
-def _slopes(q: np.ndarray, targets: np.ndarray, noise: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Slope of the objective by score: noise lowers every output, the token seen raises its own."""
-    data = 1 / (1 + np.exp(np.log(noise) - q @ targets.T))  # probability that an output is data, not noise
-    slope = data * -noise
-    at = np.arange(len(q))
-    slope[at, wanted] += 1 - data[at, wanted]
+def _slopes(
+    q: np.ndarray, mass: np.ndarray, targets: np.ndarray, noise: np.ndarray, row: np.ndarray, wanted: np.ndarray, n: np.ndarray
+) -> np.ndarray:
+    """Slope of the objective by score, for contexts with a mass of tokens each, ``n`` of them the wanted output.
+
+    Noise lowers every output by noise * data, where data is the probability that the output is data, not
+    noise; every token seen raises its own by 1 - data.
+    """
+    against = -targets  # scores of noise against data
+    against[:, -1] += np.log(noise)
+    slope = q @ against.T
+    np.exp(slope, out=slope)
+    slope += 1
+    np.divide(-noise, slope, out=slope)
+    raised = n * (1 + slope[row, wanted] / noise[wanted])
+    slope *= mass[:, None]
+    np.add.at(slope.ravel(), row * len(targets) + wanted, raised.astype(np.float32))
     return slope
 
 
@@ -312,10 +374,9 @@ def train_round(documents: DataFrame, model: Model, rate: float) -> Model:
                 continue
             learner = learner or Learner(model, rate)
             t = _tokens(split(piece.column("text")), model.known)
-            order = np.random.default_rng(len(t.token)).permutation(len(t.token))  # batches across texts
-            for at in range(0, len(order), BATCH):
-                batch = order[at : at + BATCH]
-                learner.step(t.token[batch], t.two[batch], t.one[batch])
+            group = grouped(t.token, t.two, t.one, model.known, mixed=True)
+            for two, one, row, token, inner in group.batches():
+                learner.step(two, one, row, token, group.n[inner])
         if learner is not None:
             rows = np.flatnonzero(learner.uses)
             n = learner.uses[rows]
