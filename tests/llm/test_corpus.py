@@ -23,6 +23,7 @@ from tidemark.llm import (
     components, decontaminate, logbilinear, mixing, neighbours, repeats, secrets, simhash, tokens, toxicity, warc,
 )
 from tidemark.llm.queries import ORACLES, QUERIES
+from tidemark.llm.words import split
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, row_hash string"
 LONG = "alpha beta " * 3000
@@ -406,9 +407,14 @@ def test_log_bilinear_probabilities_add_up_and_follow_context(spark):
     documents = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
     known = logbilinear.vocabulary(logbilinear.count_words(documents))
     assert known.total == sum(len(t.split()) + 1 for t in texts) and known.size == math.isqrt(known.total)
-    model = logbilinear.starting(known)
-    for _ in range(40):
-        model = logbilinear.train_round(documents, model, 0.5)
+    learner = logbilinear.Learner(logbilinear.starting(known), 0.25)
+    t = logbilinear._tokens(split(pa.array(texts)), known)
+    group = logbilinear.grouped(t.token, t.two, t.one, known, mixed=True)
+    assert group.n.sum() == known.total
+    for _ in range(200):
+        for two, one, row, token, inner in group.batches():
+            learner.step(two, one, row, token, group.n[inner])
+    model = learner.model
     names = known.words.to_pylist()
     red, car, sky = (names.index(w) for w in ("red", "car", "sky"))
     start = known.size + logbilinear.ENDINGS
