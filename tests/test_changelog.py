@@ -137,3 +137,19 @@ def test_totals_follow_the_feed_and_leave_other_parts(spark, rows, tmp_path):
     want = t.as_of().groupBy("day").agg(F.sum("amount").cast("decimal(28,2)").alias("revenue"), F.count("*").alias("lines"))
     assert values(got, "day", "revenue", "lines") == values(want, "day", "revenue", "lines")
     assert got.count() == 59
+
+
+def test_states_of_sort_merge_joins_can_be_united(spark, tmp_path):
+    """Re-planning gives the sides of a state's union different numbers of partitions."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = spark.range(400).select("id", (F.col("id") % 7).alias("v"))
+        t = ChangeTable(spark, str(tmp_path / "joined"), "id")
+        t.write(items.filter("id < 200"), day(1))
+        t.append(items.filter("id >= 200"), day(2))
+        t.delete(F.col("id") % 2 == 0, day(3))
+        t.restore(day(4), version=1)
+        assert values(t.as_of()) == values(items)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
