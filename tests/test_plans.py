@@ -7,6 +7,7 @@ from tests.conftest import SF_DIR
 from tidemark.operators import enrich, gold, keys, validation
 from tidemark.operators.temporal import point_in_time
 from tidemark.plans.domain import Domain
+from tidemark.session import bound_tasks
 
 
 def plan(df):
@@ -136,3 +137,25 @@ def test_layers_follow_their_files(spark, tmp_path):
     (tmp_path / "lineitem.parquet").unlink()
     spark.read.parquet(f"{SF_DIR}/lineitem.parquet").filter("l_linenumber = 1").write.parquet(str(tmp_path / "lineitem.parquet"))
     assert 0 < Domain(spark, str(tmp_path)).fct_orders.count() < before
+
+
+def test_tasks_follow_the_size_of_the_layers(spark, settings):
+    """What a task holds stays bounded as tables grow, whatever the session began with."""
+    names = ["adaptive.coalescePartitions.initialPartitionNum", "adaptive.advisoryPartitionSizeInBytes", "files.maxPartitionBytes"]
+    settings(spark__sql__adaptive__advisoryPartitionSizeInBytes="64MB", spark__sql__files__maxPartitionBytes="2m")
+    try:
+        Domain(spark, SF_DIR).fct_orders
+        assert [spark.conf.get(f"spark.sql.{n}") for n in names] == ["4", str(4 << 20), str(2 << 20)]
+        assert bound_tasks(spark, 6 * 10**9) == 716
+        counts = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").groupBy("l_partkey").count()
+        assert "hashpartitioning(l_partkey" in plan(counts) and ", 716)" in plan(counts)
+    finally:
+        bound_tasks(spark, 0)
+
+
+def test_closing_instants_few_enough_spare_the_facts_a_shuffle(spark, rows, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    facts = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    dim = rows([], "o_custkey long, city string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    text = plan(point_in_time(facts, dim, "o_custkey", "o_orderdate", ["city"], closed=True))
+    assert "LeftSemi, BuildRight" in text

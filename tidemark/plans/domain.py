@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.money import PRICE
 from tidemark.functions.times import ORDER_TS_FORMAT, RETURN_DATE_FORMAT
 from tidemark.operators import history, validation
-from tidemark.session import enable_skew_splitting, scratch_path
+from tidemark.session import bound_tasks, enable_skew_splitting, scratch_path
 from tidemark.sinks.tables import overwrite_table, read_if_exists, save_bucketed
 from tidemark.sources.files import parquet_stream
 from tidemark.sources.schemas import RETURN_REASONS
@@ -67,10 +67,15 @@ class Domain:
 
     @cached_property
     def _files(self) -> int | None:
-        """Changes with the path, time or size of any file that the layers are made of."""
+        """Changes with the path, time or size of any file that the layers are made of.
+
+        The bytes of these files also set the number of tasks of what reads the layers.
+        """
         paths = [f"{self.dir}/{name}.parquet" for name in LAYER_INPUTS]
         files = self.spark.read.format("binaryFile").load(paths)
-        return files.agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length"))).first()[0]
+        state, size = files.agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length")), F.sum("length")).first()
+        bound_tasks(self.spark, size or 0)
+        return state
 
     def layer(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
         """The stored table ``name``, written by its first reader (again if it is gone)."""
@@ -79,9 +84,10 @@ class Domain:
         if found is None:
             path, rows = self.scratch(name), build()
             if partition is None:
-                rows.write.parquet(path)
+                writer = rows.write
             else:
-                rows.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(path)
+                writer = rows.hint("rebalance", F.col(partition)).write.partitionBy(partition)
+            writer.option("compression", "zstd").parquet(path)
             _LAYERS[slot] = path
             found = self.spark.read.parquet(path)
         return found
@@ -198,9 +204,13 @@ class Domain:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        """Type-2 history after both loads."""
-        first = history.scd2_apply(None, self.customers_v1, "customer_id", TRACKED, CARRIED, V1_DATE)
-        return history.scd2_apply(first, self.customers_v2, "customer_id", TRACKED, CARRIED, V2_DATE)
+        """Type-2 history after both loads, a layer too: joins in time read it several times."""
+
+        def build() -> DataFrame:
+            first = history.scd2_apply(None, self.customers_v1, "customer_id", TRACKED, CARRIED, V1_DATE)
+            return history.scd2_apply(first, self.customers_v2, "customer_id", TRACKED, CARRIED, V2_DATE)
+
+        return self.layer("dim-customers", build)
 
     @cached_property
     def _product_rows(self) -> DataFrame:
