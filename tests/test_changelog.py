@@ -153,3 +153,14 @@ def test_states_of_sort_merge_joins_can_be_united(spark, tmp_path):
         assert values(t.as_of()) == values(items)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_state_after_appends_needs_no_join(spark, rows, tmp_path):
+    t = ChangeTable(spark, str(tmp_path / "appended"), "k")
+    t.write(rows([("a", 1, None)], ROWS), day(1))
+    t.append(rows([("a", 2, None), ("b", 2, None), (None, 2, None)], ROWS), day(2))
+    assert "Join" not in t.as_of()._jdf.queryExecution().executedPlan().toString()
+    t.delete(F.col("v") == 1, day(3))
+    assert values(t.as_of(), "k", "v") == [(None, 2), ("b", 2)]
+    t.delete(F.col("v") == 2, day(4))
+    assert values(t.as_of(), "k", "v") == [(None, 2)]

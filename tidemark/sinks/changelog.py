@@ -64,10 +64,10 @@ class ChangeTable:
         if entry.version == entry.base_version:
             return base
         log = self._log(entry.base_version + 1, entry.version)
-        replaced = (
-            log.filter(F.col(KIND).isin(BEFORE, DELETE)).groupBy(F.col(self.key).alias("_replaced"))
-            .agg(F.max(VERSION).alias("_at"))
-        )
+        removed = log.filter(F.col(KIND).isin(BEFORE, DELETE))
+        if removed.isEmpty():  # files' statistics tell; a log of appends needs no join
+            return base.unionByName(log.filter(F.col(KIND).isin(INSERT, AFTER)).select(*base.columns))
+        replaced = removed.groupBy(F.col(self.key).alias("_replaced")).agg(F.max(VERSION).alias("_at"))
         same = F.col(self.key) == F.col("_replaced")
         newer = F.col("_at").isNull() | (F.col(VERSION) > F.col("_at")) | ((F.col(VERSION) == F.col("_at")) & (F.col(KIND) == AFTER))
         written = log.filter(F.col(KIND).isin(INSERT, AFTER)).join(replaced, same, "left").filter(newer)
@@ -131,8 +131,10 @@ class ChangeTable:
 
     def delete(self, condition: Column, committed_at: str, operation: str = "DELETE") -> int:
         """Remove every key that has a row for which ``condition`` holds."""
-        state = self.as_of()
-        gone = state.join(distinct_keys(state.filter(condition), self.key), self.key, "left_semi")
+        state, holds = self.as_of(), F.coalesce(condition, F.lit(False))
+        gone, others = state.filter(holds & F.col(self.key).isNotNull()), state.filter(~holds)
+        if not others.isEmpty():  # other rows of the same keys
+            gone = gone.unionByName(others.join(distinct_keys(gone, self.key), self.key, "left_semi").select(*state.columns))
         return self._commit(gone.withColumn(KIND, F.lit(DELETE)), operation, committed_at)
 
     def restore(self, committed_at: str, version: int | None = None, after: object = None, before: object = None, min_rows: int = 1) -> int:
