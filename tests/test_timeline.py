@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tests.conftest import values
-from tidemark.operators import timeline
+from tidemark.operators import temporal, timeline
 from tidemark.operators.temporal import leakage_audit, point_in_time
 from tidemark.operators.timeline import last_version, with_neighbour
 
@@ -125,3 +125,17 @@ def test_leakage_audit_equals_joins(events, versions):
         events.count(), lower.count(), correct.count(), future.count(),
     )
     assert row.leaked_rows == row.lower_bound_rows - row.correct_rows > 0
+
+
+def test_the_audit_counts_facts_of_one_time_before_they_meet_versions(rows, monkeypatch):
+    met = []
+
+    def counted(facts, *args, **named):
+        met.append(facts.count())
+        return last_version(facts, *args, **named)
+
+    monkeypatch.setattr(temporal, "last_version", counted)
+    facts = rows([("a", at(5))] * 60 + [("a", at(1)), ("b", at(5)), (None, at(5))], "k string, ts timestamp_ntz")
+    dim = rows([("a", at(0), at(3), False), ("a", at(3), None, True)], "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")
+    assert values(leakage_audit(facts, dim, "k", "ts")) == [(62, 121, 61, 1, 60)] and met == [3]
+    assert values(leakage_audit(facts.limit(0), dim, "k", "ts")) == [(0, 0, 0, 0, 0)]

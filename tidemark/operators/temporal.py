@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import open_end
+from tidemark.operators.enrich import is_small
 from tidemark.operators.keys import splittable_groups
 from tidemark.operators.timeline import DAY, last_version
+from tidemark.session import stored
 
 
 def point_in_time(
@@ -48,11 +50,11 @@ def point_in_time(
     closing = versions.select(
         F.col(key), F.col(end).alias("_instant"), *[F.col(c) for c in values]
     ).filter(F.col("_instant").isNotNull())
-    on_end = (
-        usable.withColumn("_instant", moment)
-        .join(closing, [key, "_instant"])
-        .select(*fact.columns, *values)
-    )
+    candidates = usable.withColumn("_instant", moment)
+    instants = closing.select("_instant").distinct()
+    if is_small(instants):  # as with loads in batches: the other facts need no second shuffle
+        candidates = candidates.join(F.broadcast(instants), "_instant", "left_semi")
+    on_end = candidates.join(closing, [key, "_instant"]).select(*fact.columns, *values)
     return inside.unionByName(on_end)
 
 
@@ -108,9 +110,11 @@ def leakage_audit(
 
     ``lower_bound_rows`` is the row count of joining on ``start <= ts`` alone,
     ``leaked_rows`` its surplus over the correct join, and ``future_rows`` the
-    facts older than the version that is current now.
+    facts older than the version that is current now.  Facts of one key and time are
+    counted before they meet the versions.
     """
-    usable = fact.filter(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(key, ts)
+    usable = fact.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+    usable = stored(usable.groupBy(key, ts).agg(F.count(F.lit(1)).alias("_facts")), "audited-facts")
     versions = dim.withColumn("valid_to", F.coalesce(F.col("valid_to"), open_end()))
     found = last_version(
         usable, versions, key, ts, "valid_from", ["valid_to"], seen="_seen", seconds=seconds
@@ -121,10 +125,14 @@ def leakage_audit(
         .drop("_group_hash")
     )
     moment = F.col(ts).cast("timestamp_ntz")
+
+    def facts(number) -> Column:
+        return F.coalesce(F.sum(number), F.lit(0)).cast("long")
+
     counts = found.join(current, key, "left").agg(
-        F.count(F.lit(1)).alias("fact_rows"),
-        F.coalesce(F.sum("_seen"), F.lit(0)).cast("long").alias("lower_bound_rows"),
-        F.count_if(moment < F.col("_version.valid_to")).alias("correct_rows"),
-        F.count_if(moment < F.col("_current_from")).alias("future_rows"),
+        facts(F.col("_facts")).alias("fact_rows"),
+        facts(F.col("_facts") * F.col("_seen")).alias("lower_bound_rows"),
+        facts(F.when(moment < F.col("_version.valid_to"), F.col("_facts"))).alias("correct_rows"),
+        facts(F.when(moment < F.col("_current_from"), F.col("_facts"))).alias("future_rows"),
     )
     return counts.withColumn("leaked_rows", F.col("lower_bound_rows") - F.col("correct_rows"))
