@@ -272,6 +272,66 @@ def test_neighbours_on_odd_rows(spark):
     assert neighbours.nearest(vectors.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_meet_without_a_call_per_node(spark, monkeypatch):
+    """Offers equal those of a slow loop, also when they are sent early."""
+    monkeypatch.setattr(neighbours, "TOGETHER", 3)
+    monkeypatch.setattr(neighbours, "OFFERS", 200)
+    source = np.random.default_rng(5)
+    base = 1 << 60  # ids that a float does not tell apart
+    x = source.normal(size=(60, 5)).astype(np.float32)
+    floor = source.uniform(-1, 3, 60)
+    rows = [(base + u, base + v, bool(source.integers(2)), float(floor[v]), x[v].tobytes())
+            for u in range(60) for v in source.choice(60, source.integers(1, 20), replace=False).tolist()]
+    filled = spark.createDataFrame(rows, "u long, v long, fresh boolean, floor double, x binary")
+    offers = neighbours._offers(filled)
+    assert "GroupsIn" not in offers._jdf.queryExecution().toString()
+    best: dict[int, dict[int, float]] = {}
+    for u in {r[0] for r in rows}:
+        group = [r for r in rows if r[0] == u]
+        for a in group:
+            for b in group:
+                s = float(x[a[1] - base] @ x[b[1] - base])
+                if a[1] != b[1] and (a[2] or b[2]) and s > a[3]:
+                    best.setdefault(a[1], {})[b[1]] = s
+    got: dict[int, dict[int, float]] = {}
+    for r in offers.collect():
+        got.setdefault(r.u, {})[r.v] = r.s
+    assert got.keys() == best.keys()
+    for u, near in best.items():
+        top = sorted(near, key=near.get, reverse=True)[: neighbours.DEGREE]
+        assert set(top) <= set(got[u]) <= set(near)
+        assert [got[u][v] for v in top] == pytest.approx([near[v] for v in top], rel=1e-5)
+
+
+@pytest.mark.parametrize("meeting", [1, 7, 1000])
+def test_neighbours_groups_go_over_the_ends_of_batches(monkeypatch, meeting):
+    monkeypatch.setattr(neighbours, "MEETING", meeting)
+    base = 1 << 60
+    u = np.sort(np.random.default_rng(6).integers(0, 12, 90)) + base
+    table = pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.arange(90))], names=["u", "i"])
+    batches = [table.slice(a, 4) for a in range(0, 90, 4)]
+    groups = [t.slice(a, b - a) for t, first in neighbours._whole_groups(iter(batches), "u") for a, b in zip(first, first[1:])]
+    assert [g.column("u")[0].as_py() for g in groups] == np.unique(u).tolist()
+    assert [i for g in groups for i in g.column("i").to_pylist()] == list(range(90))
+    assert list(neighbours._whole_groups(iter([]), "u")) == list(neighbours._whole_groups(iter([table.slice(0, 0)]), "u")) == []
+
+
+def test_neighbours_of_a_table_of_doubles_with_long_ids(spark):
+    """Ids above 2^53 and components that are no floats, with trees."""
+    source = np.random.default_rng(9)
+    m = source.normal(size=(700, 6)) + 1e-9
+    ids = [(1 << 60) + i for i in range(700)]
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, m, strict=True)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, F.col("vec_id") % 20 == 0).toPandas()
+    hits = 0
+    for q, part in found.groupby("query_id"):
+        scores = m @ m[q - ids[0]]
+        scores[q - ids[0]] = -np.inf
+        assert np.allclose(part["score"], scores[part["vec_id"] - ids[0]], rtol=1e-12)
+        hits += len(set(np.argsort(-scores)[:20] + ids[0]) & set(part["vec_id"]))
+    assert len(found) == 20 * sum(i % 20 == 0 for i in ids) and hits >= 0.9 * len(found)
+
+
 # --- archives
 
 def test_archives_round_trip(spark, tmp_path):
