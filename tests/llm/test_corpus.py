@@ -8,6 +8,7 @@ import lzma
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -496,6 +497,23 @@ def test_log_bilinear_moves_are_weighted_by_use(spark):
     assert np.allclose(one, two, atol=1e-5) and not np.allclose(one, model.values, atol=1e-2)
 
 
+def test_log_bilinear_groups_hold_little(spark):
+    """What a piece is learned from is right, and made with little memory a token (over 100 bytes before)."""
+    source = np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in source.zipf(1.3, 100) % 5000) for _ in range(2000)]
+    known = logbilinear.vocabulary(logbilinear.count_words(spark.createDataFrame([(t,) for t in texts], "text string")))
+    words = split(pa.array(texts))
+    tracemalloc.start()
+    token, two, one, _ = logbilinear._numbered(words, known)
+    group = logbilinear.grouped(token, two, one, known, mixed=True)
+    held = tracemalloc.get_traced_memory()[1] / len(token)
+    tracemalloc.stop()
+    assert held < 75
+    context = np.repeat(np.arange(len(group.two)), np.diff(group.edges))
+    got = dict(zip(zip(group.two[context], group.one[context], group.token, strict=True), group.n, strict=True))
+    assert got == Counter(zip(two.tolist(), one.tolist(), token.tolist(), strict=True))
+
+
 def test_log_bilinear_vectors_grow_with_the_corpus(spark):
     documents = read(spark, "documents")
     whole = logbilinear.vocabulary(logbilinear.count_words(documents))

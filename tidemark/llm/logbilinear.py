@@ -154,29 +154,38 @@ class Tokens:
     one: np.ndarray
 
 
-def _tokens(words, known: Vocabulary) -> Tokens:
+def _numbered(words, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """token, two, one of a piece, and which tokens are words."""
     start = known.size + ENDINGS
     place = known.places(words.vocabulary)
-    numbers = np.where((place >= 0) & (place < known.size), place, known.size + ending_class(words.vocabulary))
+    numbers = np.where((place >= 0) & (place < known.size), place, known.size + ending_class(words.vocabulary)).astype(np.int32)
     counts = words.counts
     ends = np.cumsum(counts + 1) - 1
     inside = np.ones(len(words.codes) + words.n_rows, bool)
     inside[ends] = False
-    code = np.full(len(inside), -1, np.int64)
-    code[inside] = words.codes
-    end_place = 0 if len(known.words) and known.words[0].as_py() == END else -1
-    at = np.full(len(inside), end_place, np.int64)
-    at[inside] = place[words.codes]
-    end_number = 0 if end_place == 0 and known.size else known.size + int(ending_class(pa.array([END]))[0])
-    token = np.full(len(inside), end_number, np.int64)
+    end_number = 0 if _end_place(known) == 0 and known.size else known.size + int(ending_class(pa.array([END]))[0])
+    token = np.full(len(inside), end_number, np.int32)
     token[inside] = numbers[words.codes]
-    one = np.concatenate(([start], token))[:-1]
-    two = np.concatenate(([start, start], token))[:-2]
+    one = np.concatenate((np.array([start], np.int32), token[:-1]))[: len(token)]
+    two = np.concatenate((np.array([start, start], np.int32), token[:-2]))[: len(token)]
     first = ends - counts
     one[first] = start
     two[first] = start
     two[np.minimum(first + 1, len(token) - 1)] = start  # second token of its text, or the first of the next
-    return Tokens(np.repeat(np.arange(words.n_rows), counts + 1), code, at, token, two, one)
+    return token, two, one, inside
+
+
+def _end_place(known: Vocabulary) -> int:
+    return 0 if len(known.words) and known.words[0].as_py() == END else -1
+
+
+def _tokens(words, known: Vocabulary) -> Tokens:
+    token, two, one, inside = _numbered(words, known)
+    code = np.full(len(inside), -1, np.int32)
+    code[inside] = words.codes
+    at = np.full(len(inside), _end_place(known), np.int32)
+    at[inside] = known.places(words.vocabulary).astype(np.int32)[words.codes]
+    return Tokens(np.repeat(np.arange(words.n_rows, dtype=np.int32), words.counts + 1), code, at, token, two, one)
 
 
 @dataclass
@@ -188,7 +197,7 @@ class Grouped:
     edges: np.ndarray  # of each context's tokens
     token: np.ndarray
     n: np.ndarray
-    of: np.ndarray  # for each token of the piece, its place among the distinct ones
+    of: np.ndarray  # for each token of the piece, its place among the distinct ones; empty if mixed
 
     def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, slice]]:
         """Contexts (two, one); tokens after them: row of the context, token, and their slice."""
@@ -202,17 +211,30 @@ class Grouped:
 def grouped(token: np.ndarray, two: np.ndarray, one: np.ndarray, known: Vocabulary, mixed: bool = False) -> Grouped:
     """Tokens grouped by context; contexts in a random order that is the same in every run, if ``mixed``."""
     numbers = known.size + ENDINGS + 1
-    context, of = np.unique(two * numbers + one, return_inverse=True)
+    context, of = np.unique(two.astype(np.int64) * numbers + one, return_inverse=True)
     if mixed:
         place = np.random.default_rng(len(token)).permutation(len(context))
         shuffled = np.empty_like(context)
         shuffled[place] = context
         context, of = shuffled, place[of]
-    pair, of, n = np.unique(of * numbers + token, return_inverse=True, return_counts=True)
+    of *= numbers
+    of += token
+    if mixed:  # which token is which is not asked when learning, and a plain sort holds less
+        pair, n = _counted(of)
+        of = np.empty(0, np.int64)
+    else:
+        pair, of, n = np.unique(of, return_inverse=True, return_counts=True)
     edges = np.searchsorted(pair, np.arange(len(context) + 1) * numbers)
     return Grouped(context // numbers, context % numbers, edges, pair % numbers, n.astype(np.float32), of)
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and how often each occurs; sorts the array in place."""
+    values.sort()
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+    return values[first], np.diff(np.append(first, len(values)))
+
+
 @dataclass
 class Model:
     """Vectors in one matrix: contexts two places before, one place before, bands and classes, words.
@@ -274,7 +296,7 @@ def _by_band(
     for band in np.flatnonzero(sizes).tolist():
         at = order[ends[band] - sizes[band] : ends[band]]
         near = row[at]
-        new = np.diff(near, prepend=-1) > 0
+        new = np.append(True, near[1:] > near[:-1])
         yield band * known.band, at, near[new], np.cumsum(new) - 1
 
 
@@ -373,10 +395,12 @@ def train_round(documents: DataFrame, model: Model, rate: float) -> Model:
             if not piece.num_rows:
                 continue
             learner = learner or Learner(model, rate)
-            t = _tokens(split(piece.column("text")), model.known)
-            group = grouped(t.token, t.two, t.one, model.known, mixed=True)
+            token, two, one, _ = _numbered(split(piece.column("text")), model.known)
+            group = grouped(token, two, one, model.known, mixed=True)
+            del token, two, one  # the groups hold all that is learned from
             for two, one, row, token, inner in group.batches():
                 learner.step(two, one, row, token, group.n[inner])
+            del group
         if learner is not None:
             rows = np.flatnonzero(learner.uses)
             n = learner.uses[rows]
@@ -427,7 +451,7 @@ def _partial(documents: DataFrame, model: Model) -> DataFrame:
             model_log[tail] += count_log[tail] - share[t.token[tail] - known.size]
             rest = ~hot & (t.code >= 0)
             kinds = max(len(words.vocabulary), 1)
-            pair, n = np.unique(t.row[rest] * kinds + t.code[rest], return_counts=True)
+            pair, n = np.unique(t.row[rest].astype(np.int64) * kinds + t.code[rest], return_counts=True)
             rare = pa.StructArray.from_arrays(
                 [words.vocabulary.take(pa.array(pair % kinds)).cast(pa.string()), pa.array(n)], names=["word", "n"]
             )
