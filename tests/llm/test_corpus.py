@@ -582,6 +582,27 @@ def test_mix_on_odd_rows(spark, odd, empty):
         F.sum("taken")).first()[0] == pytest.approx(3000, abs=2)
 
 
+def test_mixed_shuffles_texts_once_and_repeats_what_mix_takes(spark):
+    rows = [(i if i % 9 else None, "w " * (1 + i % 40) + str(i), "ab"[i % 2]) for i in range(300)]
+    documents = spark.createDataFrame(rows + rows[:60] * 2, "doc_id long, text string, source string")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mixing.mixed(documents)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = Counter()
+        for r in out.collect():
+            got[r.doc_id] += words_in(r.text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    # one shuffle of the documents, one of the copies; another between join and choice before
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    expected = Counter()
+    for r in mixing.mix(documents).collect():
+        expected[r.doc_id] += r.taken
+    assert got == +expected
+
+
 # --- secrets
 
 def test_secrets_under_nested_layers():

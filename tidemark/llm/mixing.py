@@ -183,12 +183,14 @@ def mix(documents: DataFrame, **rules) -> DataFrame:
 
 def mixed(documents: DataFrame, **rules) -> DataFrame:
     """The documents repeated by their copies, all columns kept."""
-    own, unit_id, unit_hash, total, copy = (fresh(documents, n) for n in ("row_hash", "unit_id", "unit_hash", "total", "copy"))
-    unit = rounded(documents, **rules).filter("total > 0").select(
-        F.col("doc_id").alias(unit_id), F.col("row_hash").alias(unit_hash), F.col("total").alias(total)
-    )
-    rows = documents.withColumn(own, row_hash(documents))
-    same = F.col("doc_id").eqNullSafe(F.col(unit_id)) & (F.col(own) == F.col(unit_hash))
-    # rows that agree in all columns are one unit: keep one and repeat it for all
-    once = rows.join(unit, same).dropDuplicates(["doc_id", own])
+    total, copy, *key = (fresh(documents, n) for n in ("total", "copy", "row_hash", "id_text", "id_null"))
+
+    def of(own: Column) -> list[Column]:
+        parts = (own, F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull())
+        return [part.alias(name) for part, name in zip(parts, key, strict=True)]
+
+    unit = rounded(documents, **rules).filter("total > 0").select(F.col("total").alias(total), *of(F.col("row_hash")))
+    # Rows that agree in all columns are one unit: keep one and repeat it for all.  The join and the
+    # choice go by the same key without nulls, so texts are shuffled and sorted once for both.
+    once = documents.select("*", *of(row_hash(documents))).join(unit, key).dropDuplicates(key)
     return once.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(total)))).select(*documents.columns)
