@@ -514,6 +514,60 @@ def test_log_bilinear_groups_hold_little(spark):
     assert got == Counter(zip(two.tolist(), one.tolist(), token.tolist(), strict=True))
 
 
+def test_log_bilinear_bands_of_a_batch_are_learned_and_scored_together(spark, monkeypatch):
+    """Steps and scores are those of each band on its own, with as many calls for any number of bands."""
+    source = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in source.zipf(1.3, 60) % 900) for _ in range(300)]
+    known = logbilinear.vocabulary(logbilinear.count_words(spark.createDataFrame([(t,) for t in texts], "text string")))
+    assert known.bands > 9 and known.size % known.band  # the last band lacks words
+    token, two, one, _ = logbilinear._numbered(split(pa.array(texts)), known)
+    group = logbilinear.grouped(token, two, one, known, mixed=True)
+    learner, plain = (logbilinear.Learner(logbilinear.starting(known), 0.25) for _ in range(2))
+    calls, slopes = [], logbilinear._slopes
+    monkeypatch.setattr(logbilinear, "_slopes", lambda *a: calls.append(1) or slopes(*a))
+    batch = next(group.batches())
+    two_, one_, row, follows, inner = batch
+    n = group.n[inner]
+    learner.step(two_, one_, row, follows, n)
+    assert len(calls) == 2  # one more for each band before
+
+    # the same step in plain sums: outputs are the bands and classes, then the words of each band
+    q, (classes, words) = plain.model.contexts(two_, one_).astype(float), plain.model.targets()
+    outer, kind = known.noise()[0], known.outer(follows)
+    inside = known.noise()[1]
+    gradient, back = np.zeros_like(plain.seen, dtype=float), np.zeros_like(q)
+    _, first_class, first_word = plain.model.edges
+    for context in range(len(q)):
+        mine = row == context
+        outputs = [(first_class, classes, outer, kind[mine], n[mine])]
+        for band in set(kind[mine & (kind < known.bands)].tolist()):
+            of = slice(band * known.band, min((band + 1) * known.band, known.size))
+            here = mine & (kind == band)
+            outputs.append((first_word + of.start, words[of], inside[of], follows[here] - of.start, n[here]))
+        for start, targets, noise, wanted, times in outputs:
+            data = 1 / (1 + logbilinear.NOISE * noise * np.exp(-(targets @ q[context])))
+            slope = -logbilinear.NOISE * noise * data * times.sum()
+            np.add.at(slope, wanted, times * (1 - data[wanted]))
+            gradient[start : start + len(targets)] += slope[:, None] * q[context]
+            back[context] += slope @ targets
+    back[:, -1] = 0
+    np.add.at(gradient, two_, back)
+    np.add.at(gradient, one_ + plain.model.edges[0], back)
+    expected = plain.model.values + 0.25 * gradient / np.sqrt(1 + gradient**2)
+    assert np.allclose(learner.model.values, expected, atol=1e-4)
+
+    model = learner.model
+    classes, words = (x.astype(float) for x in model.targets())
+    for at in range(0, len(token), 997):
+        q = model.contexts(two[at : at + 1], one[at : at + 1])[0].astype(float)
+        band = int(known.outer(token[at : at + 1])[0])
+        log = classes[band] @ q - np.log(np.exp(classes @ q).sum())
+        if band < known.bands:
+            of = words[band * known.band : (band + 1) * known.band]
+            log += words[token[at]] @ q - np.log(np.exp(of @ q).sum())
+        assert model.log_probabilities(token[at : at + 1], two[at : at + 1], one[at : at + 1])[0] == pytest.approx(log / np.log(10), rel=1e-4)
+
+
 def test_log_bilinear_vectors_grow_with_the_corpus(spark):
     documents = read(spark, "documents")
     whole = logbilinear.vocabulary(logbilinear.count_words(documents))

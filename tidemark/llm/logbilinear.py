@@ -106,9 +106,9 @@ class Vocabulary:
     def bands(self) -> int:
         return -(-self.size // self.band)
 
-    def places(self, words: pa.Array) -> np.ndarray:
-        """Index of each word among the known ones, -1 where it is not."""
-        found = pc.index_in(words.cast(pa.string()), value_set=self.words)
+    def places(self, words: pa.Array, first: int | None = None) -> np.ndarray:
+        """Index of each word among the known ones (the ``first`` of them), -1 where it is not."""
+        found = pc.index_in(words.cast(pa.string()), value_set=self.words.slice(0, first))
         return pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
 
     def outer(self, token: np.ndarray) -> np.ndarray:
@@ -154,10 +154,13 @@ class Tokens:
     one: np.ndarray
 
 
-def _numbered(words, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """token, two, one of a piece, and which tokens are words."""
+def _numbered(
+    words, known: Vocabulary, place: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """token, two, one of a piece, and which tokens are words; ``place``: of its vocabulary, if looked up."""
     start = known.size + ENDINGS
-    place = known.places(words.vocabulary)
+    if place is None:
+        place = known.places(words.vocabulary, known.size)
     numbers = np.where((place >= 0) & (place < known.size), place, known.size + ending_class(words.vocabulary)).astype(np.int32)
     counts = words.counts
     ends = np.cumsum(counts + 1) - 1
@@ -180,11 +183,12 @@ def _end_place(known: Vocabulary) -> int:
 
 
 def _tokens(words, known: Vocabulary) -> Tokens:
-    token, two, one, inside = _numbered(words, known)
+    place = known.places(words.vocabulary)
+    token, two, one, inside = _numbered(words, known, place)
     code = np.full(len(inside), -1, np.int32)
     code[inside] = words.codes
     at = np.full(len(inside), _end_place(known), np.int32)
-    at[inside] = known.places(words.vocabulary).astype(np.int32)[words.codes]
+    at[inside] = place.astype(np.int32)[words.codes]
     return Tokens(np.repeat(np.arange(words.n_rows, dtype=np.int32), words.counts + 1), code, at, token, two, one)
 
 
@@ -211,28 +215,45 @@ class Grouped:
 def grouped(token: np.ndarray, two: np.ndarray, one: np.ndarray, known: Vocabulary, mixed: bool = False) -> Grouped:
     """Tokens grouped by context; contexts in a random order that is the same in every run, if ``mixed``."""
     numbers = known.size + ENDINGS + 1
-    context, of = np.unique(two.astype(np.int64) * numbers + one, return_inverse=True)
-    if mixed:
-        place = np.random.default_rng(len(token)).permutation(len(context))
-        shuffled = np.empty_like(context)
-        shuffled[place] = context
-        context, of = shuffled, place[of]
-    of *= numbers
-    of += token
+    key = two.astype(np.int64)
+    for part in (one, token):
+        key *= numbers
+        key += part
     if mixed:  # which token is which is not asked when learning, and a plain sort holds less
-        pair, n = _counted(of)
-        of = np.empty(0, np.int64)
+        key.sort()
     else:
-        pair, of, n = np.unique(of, return_inverse=True, return_counts=True)
-    edges = np.searchsorted(pair, np.arange(len(context) + 1) * numbers)
-    return Grouped(context // numbers, context % numbers, edges, pair % numbers, n.astype(np.float32), of)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+    new = _changes(key)
+    first = np.flatnonzero(new)
+    n = np.diff(first, append=len(key)).astype(np.float32)
+    of = np.empty(0, np.int64)
+    if not mixed:
+        of = np.empty(len(key), np.int64)
+        of[order] = np.cumsum(new) - 1
+    del new
+    pair = key[first]
+    del key, first
+    context = pair // numbers
+    pair -= context * numbers
+    starts = np.flatnonzero(_changes(context))
+    context, sizes = context[starts], np.diff(starts, append=len(pair))
+    if mixed:
+        shuffled = np.empty_like(starts)
+        shuffled[np.random.default_rng(len(token)).permutation(len(context))] = np.arange(len(context))
+        context, starts, sizes = context[shuffled], starts[shuffled], sizes[shuffled]
+        at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(pair))
+        pair, n = pair[at], n[at]
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    return Grouped(context // numbers, context % numbers, edges, pair, n, of)
 
 
-def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct values and how often each occurs; sorts the array in place."""
-    values.sort()
-    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
-    return values[first], np.diff(np.append(first, len(values)))
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Which values of a sorted array differ from the one before."""
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
 
 
 @dataclass
@@ -268,36 +289,50 @@ class Model:
         classes, words = self.targets()
         for two_, one_, row, follows, inner in group.batches():
             q, kind = self.contexts(two_, one_), self.known.outer(follows)
-            logs = _normalised(q @ classes.T)[row, kind].astype(np.float64)
-            for first, at, rows, pair in _by_band(row, kind, self.known):
-                inside = _normalised(q[rows] @ words[first : first + self.known.band].T)
-                logs[at] += inside[pair, follows[at] - first]
+            logs = _normalised(q @ classes.T, row, kind).astype(np.float64)
+            pairs = Pairs(row, kind, self.known)
+            near = q[pairs.row]
+            scores = np.full((len(near), self.known.band), -np.inf, np.float32)  # the last band lacks words
+            for of, which in pairs.bands:
+                scores[which, : of.stop - of.start] = near[which] @ words[of].T
+            logs[pairs.at] += _normalised(scores, pairs.pair, follows[pairs.at] % self.known.band)
             found[inner] = logs
         return found[group.of] / np.log(10)
 
 
-def _normalised(scores: np.ndarray) -> np.ndarray:
-    """Log-probabilities of all outputs of each row; overwrites the scores."""
+def _normalised(scores: np.ndarray, row: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the wanted outputs of their rows, among all outputs of each; overwrites the scores."""
     scores -= scores.max(axis=1, keepdims=True)
-    scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-    return scores
+    found = scores[row, wanted]
+    found -= np.log(np.exp(scores, out=scores).sum(axis=1))[row]
+    return found
+
+
+def _order(values: np.ndarray, most: int) -> np.ndarray:
+    """Places in rising order of ``values`` below ``most``, equal ones as they stood; short numbers sort faster."""
+    return np.argsort(values.astype(np.uint16 if most <= 1 << 16 else np.int32), kind="stable")
 
 
-def _by_band(
-    row: np.ndarray, kind: np.ndarray, known: Vocabulary
-) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each band that occurs: its first word, its tokens, their distinct contexts, and each token's one of them.
+class Pairs:
+    """Pairs of a band and a context that it follows, by band, so that all bands of a batch share the work on scores.
 
     Tokens come by context, so those of a band do too.
     """
-    order = np.argsort(kind.astype(np.int32), kind="stable")
-    sizes = np.bincount(kind, minlength=known.bands)[: known.bands]
-    ends = np.cumsum(sizes)
-    for band in np.flatnonzero(sizes).tolist():
-        at = order[ends[band] - sizes[band] : ends[band]]
-        near = row[at]
-        new = np.append(True, near[1:] > near[:-1])
-        yield band * known.band, at, near[new], np.cumsum(new) - 1
+
+    def __init__(self, row: np.ndarray, kind: np.ndarray, known: Vocabulary):
+        order = _order(kind, known.bands + ENDINGS)
+        self.at = order[: np.count_nonzero(kind < known.bands)]  # tokens that are words with vectors
+        row, kind = row[self.at], kind[self.at]
+        new = _changes(row) | _changes(kind)
+        self.pair = np.cumsum(new) - 1  # of each of these tokens
+        self.row, self.of = row[new], kind[new]  # context and band of each pair
+        sizes = np.bincount(self.of, minlength=known.bands)
+        ends = np.cumsum(sizes)
+        used = np.flatnonzero(sizes)
+        firsts, band, size = (used * known.band).tolist(), known.band, known.size
+        starts, ends = (ends - sizes)[used].tolist(), ends[used].tolist()
+        #: words of each band that occurs, and its pairs
+        self.bands = [(slice(f, min(f + band, size)), slice(*x)) for f, *x in zip(firsts, starts, ends, strict=True)]
 
 
 def starting(known: Vocabulary, seed: int = 8) -> Model:
@@ -321,14 +356,19 @@ class Learner:
         self.seen = np.ones_like(model.values)
         self.uses = np.zeros(len(model.values), np.int64)
         outer, inner = model.known.noise()
-        self.outer, self.inner = np.float32(NOISE) * outer, np.float32(NOISE) * inner
+        self.outer, self.inner = np.float32(NOISE) * outer, np.zeros((model.known.bands, model.known.band), np.float32)
+        self.inner.ravel()[: model.known.size] = np.float32(NOISE) * inner  # the last band may lack words
 
     def _move(self, rows, gradient: np.ndarray) -> None:
-        self.seen[rows] += gradient * gradient
-        self.model.values[rows] += self.rate * gradient / np.sqrt(self.seen[rows])
+        seen = gradient * gradient
+        seen += self.seen[rows]
+        self.seen[rows] = seen
+        np.sqrt(seen, out=seen)
+        np.divide(self.rate * gradient, seen, out=seen)
+        self.model.values[rows] += seen
 
     def _contexts(self, place: np.ndarray, gradient: np.ndarray, mass: np.ndarray) -> None:
-        order = np.argsort(place, kind="stable")
+        order = _order(place, len(self.uses))
         ordered = place[order]
         first = np.flatnonzero(np.diff(ordered, prepend=-1))
         rows = ordered[first]
@@ -342,18 +382,25 @@ class Learner:
         q, kind = self.model.contexts(two, one), known.outer(token)
         classes, words = self.model.targets()
         mass = np.bincount(row, weights=n, minlength=len(q)).astype(np.float32)
-        slope = _slopes(q, mass, classes, self.outer, row, kind, n)
+        slope = _slopes(q @ _against(classes, self.outer).T, mass, self.outer, row, kind, n)
         back = slope @ classes
         moves = [(slice(edge_classes, edge_words), slope.T @ q)]
         self.uses[edge_classes:edge_words] += int(mass.sum())
-        for first, at, rows, pair in _by_band(row, kind, known):
-            last = min(first + known.band, known.size)
-            near, inside, share = q[rows], words[first:last], np.bincount(pair, weights=n[at]).astype(np.float32)
-            slope = _slopes(near, share, inside, self.inner[first:last], pair, token[at] - first, n[at])
-            back[rows] += slope @ inside
-            moved = slice(edge_words + first, edge_words + last)
-            moves.append((moved, slope.T @ near))
-            self.uses[moved] += int(share.sum())
+        pairs = Pairs(row, kind, known)
+        near, share = q[pairs.row], np.bincount(pairs.pair, weights=n[pairs.at]).astype(np.float32)
+        against = _against(words, self.inner.ravel()[: known.size])
+        slope = np.zeros((len(near), known.band), np.float32)
+        for of, which in pairs.bands:
+            np.matmul(near[which], against[of].T, out=slope[which, : of.stop - of.start])
+        slope = _slopes(slope, share, self.inner[pairs.of], pairs.pair, token[pairs.at] % known.band, n[pairs.at])
+        gradient = np.zeros_like(words)
+        for of, which in pairs.bands:
+            inside = slope[which, : of.stop - of.start]
+            back[pairs.row[which]] += inside @ words[of]
+            np.matmul(inside.T, near[which], out=gradient[of])
+        moves.append((slice(edge_words, None), gradient))  # words of other bands stay
+        uses = np.bincount(pairs.of, weights=share, minlength=known.bands).astype(np.int64)
+        self.uses[edge_words:] += np.repeat(uses, known.band)[: known.size]
         for rows, gradient in moves:
             self._move(rows, gradient)
         back[:, -1] = 0
@@ -361,23 +408,28 @@ class Learner:
         self._contexts(one + edge_one, back, mass)
 
 
+def _against(targets: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """Vectors whose products are the scores of noise against data."""
+    against = -targets
+    against[:, -1] += np.log(noise)
+    return against
+
+
 def _slopes(
-    q: np.ndarray, mass: np.ndarray, targets: np.ndarray, noise: np.ndarray, row: np.ndarray, wanted: np.ndarray, n: np.ndarray
+    scores: np.ndarray, mass: np.ndarray, noise: np.ndarray, row: np.ndarray, wanted: np.ndarray, n: np.ndarray
 ) -> np.ndarray:
-    """Slope of the objective by score, for contexts with a mass of tokens each, ``n`` of them the wanted output.
+    """Slope of the objective by score, for rows with a mass of tokens each, ``n`` of them the wanted output.
 
     Noise lowers every output by noise * data, where data is the probability that the output is data, not
-    noise; every token seen raises its own by 1 - data.
+    noise; every token seen raises its own by 1 - data.  Overwrites ``scores``, those of noise against data;
+    rows may each have noise of their own.
     """
-    against = -targets  # scores of noise against data
-    against[:, -1] += np.log(noise)
-    slope = q @ against.T
-    np.exp(slope, out=slope)
+    slope = np.exp(scores, out=scores)
     slope += 1
     np.divide(-noise, slope, out=slope)
-    raised = n * (1 + slope[row, wanted] / noise[wanted])
+    raised = n * (1 + slope[row, wanted] / (noise[wanted] if noise.ndim == 1 else noise[row, wanted]))
     slope *= mass[:, None]
-    np.add.at(slope.ravel(), row * len(targets) + wanted, raised.astype(np.float32))
+    np.add.at(slope.ravel(), row * slope.shape[1] + wanted, raised.astype(np.float32))
     return slope
 
 
