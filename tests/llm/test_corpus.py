@@ -177,6 +177,16 @@ def test_links_lose_no_pair(spark):
     assert got == want
 
 
+def test_links_broadcast_no_keys(spark, tmp_path):
+    """A table of fingerprints below the planner's threshold becomes seventy times its rows when exploded."""
+    path = str(tmp_path / "prints")
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(path)
+    found = simhash.links(spark.read.parquet(path))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_repeats(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 100)]
     rows = components.components(spark.createDataFrame(edges, "a long, b long")).collect()

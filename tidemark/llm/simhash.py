@@ -105,7 +105,8 @@ def links(distinct: DataFrame) -> DataFrame:
         return F.bit_count(differ.bitwiseAND(mask)) <= allowed
 
     viable = (F.col("a") < F.col("b")) & within(masks, 2) & within(longer, 3) & chain
-    return index.join(asked, "key").filter(viable).select("a", "b").distinct()
+    # the planner sizes an explode by its input, some seventy times too low: it would broadcast ``asked``
+    return index.join(asked.hint("merge"), "key").filter(viable).select("a", "b").distinct()
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 4) -> DataFrame:
