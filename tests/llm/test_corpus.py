@@ -314,6 +314,31 @@ def test_neighbours_meet_without_a_call_per_node(spark, monkeypatch):
         assert [got[u][v] for v in top] == pytest.approx([near[v] for v in top], rel=1e-5)
 
 
+def test_neighbours_broadcast_no_edges_and_no_pairs(spark, monkeypatch):
+    """Files of ids, and pairs with their vectors, look far smaller to the planner than they are."""
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    plans, stored = [], neighbours.stored
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def seen(df, name):
+        plans.extend([plan(df)] if re.fullmatch(r"graph-[1-9]\d*", name) else [])
+        return stored(df, name)
+
+    monkeypatch.setattr(neighbours, "stored", seen)
+    source = np.random.default_rng(4)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(source.normal(size=(200, 4)))], "vec_id long, embedding array<float>")
+    points = stored(neighbours.nodes(vectors, "vec_id", "embedding", 5), "points")
+    packed = neighbours._packed(points, "f4")
+    edges, seeds, _ = neighbours.graph(packed, "f4")
+    asked = points.filter("node % 20 = 0").select(F.col("node").alias("q"), "v")
+    found = neighbours.search(points, packed, "f4", edges, asked, seeds)
+    assert plans and all(re.search(r"SortMergeJoin \[u#\d+L, v#\d+L\]", p) for p in plans)
+    assert plan(found).count("SortMergeJoin") == 2 and "Broadcast" not in plan(found)
+    assert found.select("q").distinct().count() == 10
+
+
 @pytest.mark.parametrize("meeting", [1, 7, 1000])
 def test_neighbours_groups_go_over_the_ends_of_batches(monkeypatch, meeting):
     monkeypatch.setattr(neighbours, "MEETING", meeting)
