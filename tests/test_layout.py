@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_DIR, values
 from tidemark.operators import layout
+from tidemark.plans import QUERIES
 
 
 def spans(table, *columns):
@@ -64,6 +65,23 @@ def test_packing_reads_and_joins_small_files_only(spark, tmp_path):
     assert again.folder is None and len(again.kept) == len(new)
 
 
+@pytest.mark.parametrize("megabyte", [1 << 20, 1 << 14, 1 << 10])
+def test_compaction_packs_every_row_at_any_size(spark, monkeypatch, megabyte):
+    """A smaller megabyte makes the table a larger one: no file of it is left out."""
+    monkeypatch.setattr(layout, "MEGABYTE", megabyte)
+    done, pack_files = [], layout.pack_files
+
+    def seen(spark, source, target, *args, **kw):
+        done.append((spark.read.parquet(source).count(), pack_files(spark, source, target, *args, **kw)))
+        return done[-1][1]
+
+    monkeypatch.setattr(layout, "pack_files", seen)
+    report = QUERIES["compact_files"](spark, SF_DIR).collect()
+    ((rows, packed),) = done
+    assert packed.kept == [] and spark.read.parquet(packed.folder).count() == rows == report[0].row_count
+    assert report[0].fewer_files
+
+
 @pytest.mark.parametrize("key, found", [(12_345, 1), (-5, 0), (777_777, 0)])
 def test_bloom_filters_skip_row_groups(spark, tmp_path, key, found):
     plain, path = str(tmp_path / "plain"), str(tmp_path / "t")

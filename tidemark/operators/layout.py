@@ -24,7 +24,7 @@ def file_report(df: DataFrame) -> DataFrame:
 def files_for(df: DataFrame, target_mb: int = 128) -> int:
     """How many files of the target size hold the table, from the bytes it uses now."""
     size = file_report(df).agg(F.sum("bytes")).first()[0] or 0
-    return max(1, -(-size // (target_mb * 1024 * 1024)))
+    return max(1, -(-size // (target_mb * MEGABYTE)))
 
 
 def compact_files(

@@ -107,12 +107,10 @@ def restore_version(d: Domain):
        FROM fct_orders""",
 )
 def compact_files(d: Domain):
-    """Many small files packed into few by their sizes; a file that is large already stays as it is."""
+    """The whole table as many small files, more of them where it is larger, packed into few by their sizes."""
     small, large = d.scratch("orders_small_files"), d.scratch("orders_compacted")
-    recent = F.col("order_ts") >= F.lit("1998-01-01").cast("timestamp_ntz")
-    d.fct_orders.filter(~recent).coalesce(1).write.parquet(small)
-    d.fct_orders.filter(recent).repartition(32).write.mode("append").parquet(small)
-    table = layout.pack_files(d.spark, small, large, target_mb=1, sort=["order_ts", "order_id"]).read()
+    d.fct_orders.repartition(max(32, layout.files_for(d.fct_orders, target_mb=4))).write.parquet(small)
+    table = layout.pack_files(d.spark, small, large, sort=["order_ts", "order_id"]).read()
     files = layout.file_report(d.spark.read.parquet(small)).agg(F.count(F.lit(1)).alias("n")).scalar()
     report = layout.file_report(table).agg(F.sum("row_count").alias("row_count"), F.count(F.lit(1)).alias("_files")).select(
         "row_count", (F.col("_files") < files).alias("fewer_files")
