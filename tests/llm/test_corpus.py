@@ -18,6 +18,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tests.compare import compare, duck
 from tests.conftest import SF_DIR
 from tidemark.llm import (
@@ -187,6 +188,18 @@ def test_links_broadcast_no_keys(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_near_dedup_stage_broadcasts_no_keys(spark, monkeypatch):
+    plans, stored = [], components.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(components, "stored", seen)
+    corpus_pipeline.drop_near_copies(spark, read(spark, "documents"), SF_DIR)
+    assert re.search(r"SortMergeJoin \[key#\d+L?\]", plans[0]) and "Broadcast" not in plans[0]
+
+
 def test_components_of_chains_and_repeats(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 100)]
     rows = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
